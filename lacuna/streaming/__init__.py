@@ -1,0 +1 @@
+"""Intentionally empty: all inputs of this library are finite tables."""
