@@ -29,6 +29,35 @@ def pivot_features(
     )
 
 
+def vector_features(
+    series: DataFrame, items: Sequence[int], last_bin: int, value: str = "filled"
+) -> DataFrame:
+    """One row per admission with the same cells as ``pivot_features`` in one array
+    column ``values``.  The plan does not grow with the number of features, so this
+    is the form models and imputers take."""
+    items = list(items)
+    size = len(items) * (last_bin + 1)
+    place = F.array_position(F.array(*[F.lit(i) for i in items]), F.col("itemid")) - 1
+    cells = series.filter(F.col("itemid").isin(items) & (F.col("bin") <= last_bin)).select(
+        "hadm_id", (place * (last_bin + 1) + F.col("bin")).cast("int").alias("at"), value
+    )
+    packed = cells.groupBy("hadm_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("at", value))).alias("cells")
+    )
+    every = F.sequence(F.lit(0), F.lit(size - 1))
+    return packed.select(
+        "hadm_id", F.transform(every, lambda i: F.try_element_at("cells", i)).alias("values")
+    )
+
+
+def named_cells(vectors: DataFrame, names: Sequence[str], key: str = "hadm_id") -> DataFrame:
+    """(key, feature, value) rows of an array matrix."""
+    labels = F.array(*[F.lit(n) for n in names])
+    return vectors.select(key, F.posexplode("values").alias("at", "value")).select(
+        key, F.get(labels, F.col("at")).alias("feature"), "value"
+    )
+
+
 def last_n_features(labs: DataFrame, days: int = 7, width: int = 6, cap: int = 27) -> DataFrame:
     """Labs of the window with the 1-based capped bin and the verbose feature name."""
     complete = labs.na.drop(subset=["charttime", "dischtime", "hadm_id", "itemid", "valuenum"])

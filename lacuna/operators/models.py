@@ -68,7 +68,6 @@ def random_forest(
         minInstancesPerNode=leaf,
         featureSubsetStrategy="sqrt",
         seed=seed,
-        cacheNodeIds=True,
     )
 
 
@@ -110,31 +109,31 @@ def perceptron(inputs: int, hidden: Sequence[int] = (16,), max_iter: int = 100,
     return Pipeline(stages=[scale, net])
 
 
-def column_medians(train: DataFrame, columns: Sequence[str]) -> list[float]:
-    """Training median per feature; 0 for a feature without any value.  One
-    aggregate over the training rows, one number per feature comes back."""
-    names = [F.percentile_approx(F.col(f"`{c}`"), 0.5).alias(f"m{i}") for i, c in enumerate(columns)]
-    return [0.0 if m is None else float(m) for m in train.agg(*names).first()]
+def column_medians(train: DataFrame, size: int) -> list[float]:
+    """Training median per feature; 0 for a feature without any value.  Only one
+    number per feature comes back to the driver."""
+    cells = train.select(F.posexplode("values").alias("at", "x")).filter("x IS NOT NULL")
+    found = cells.groupBy("at").agg(F.percentile_approx("x", 0.5).alias("median")).collect()
+    medians = dict(map(tuple, found))
+    return [medians.get(i, 0.0) for i in range(size)]
 
 
-def to_vectors(
-    df: DataFrame, columns: Sequence[str], medians: Sequence[float], masks: bool = False
-) -> DataFrame:
+def to_vectors(df: DataFrame, medians: Sequence[float], masks: bool = False) -> DataFrame:
     """Feature vector per row; missing values get the median and, with ``masks``,
-    a 0/1 column that says so."""
-    cells = [
-        F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(m))
-        for c, m in zip(columns, medians, strict=True)
-    ]
+    a 0/1 entry that says so."""
+    fallback = F.array(*[F.lit(m) for m in medians])
+    cells = F.transform("values", lambda x, i: F.coalesce(x, F.get(fallback, i)))
     if masks:
-        cells += [F.col(f"`{c}`").isNotNull().cast("double") for c in columns]
-    return df.withColumn(FEATURES, array_to_vector(F.array(*cells)))
+        seen = F.transform("values", lambda x: x.isNotNull().cast("double"))
+        cells = F.concat(cells, seen)
+    return df.withColumn(FEATURES, array_to_vector(cells))
 
 
 def training_frame(
     features: DataFrame, labels: DataFrame, k: int = 5, seed: int = 42
 ) -> DataFrame:
-    """Feature rows with subject, label and fold, written once for all fits."""
+    """Feature rows (``values`` array) with subject, label and fold, written once
+    for all fits."""
     labelled = features.join(labels.select("hadm_id", "subject_id", "target"), "hadm_id")
     folded = sampling.group_folds(labelled, k=k, seed=seed)
     return cut_lineage(folded.withColumn(LABEL, F.col("target").cast("double")))
@@ -157,15 +156,15 @@ def fit_fold(
     """Model of one fold, its (oversampled) training rows and its test rows.
     ``make`` gets the number of training rows."""
     train = frame.filter(F.col("fold") != fold)
-    medians = column_medians(train, columns)
+    medians = column_medians(train, len(columns))
     balanced = sampling.oversample(train, "target", seed=seed)
     weighted = sampling.class_weights(balanced, "target", weights)
     fitted = cut_lineage(
-        to_vectors(weighted, columns, medians, masks).select(
+        to_vectors(weighted, medians, masks).select(
             "hadm_id", "subject_id", "target", LABEL, "weight", FEATURES
         )
     )
-    test = to_vectors(frame.filter(F.col("fold") == fold), columns, medians, masks)
+    test = to_vectors(frame.filter(F.col("fold") == fold), medians, masks)
     return make(fitted.count()).fit(fitted), fitted, test
 
 
@@ -223,13 +222,13 @@ def grid_search(
     found = None
     for fold in range(k):
         train = frame.filter(F.col("fold") != fold)
-        medians = column_medians(train, columns)
+        medians = column_medians(train, len(columns))
         split = sampling.group_folds(train, k=inner, seed=seed, name="inner_fold")
         rows = sampling.oversample(split, "target", seed=seed)
         for i, mode in enumerate(modes):
             rows = sampling.class_weights(rows, "target", mode, name=f"weight_{i}")
         fitted = cut_lineage(
-            to_vectors(rows, columns, medians).select(
+            to_vectors(rows, medians).select(
                 "inner_fold", LABEL, FEATURES, *[f"weight_{i}" for i in range(len(modes))]
             )
         )
@@ -256,7 +255,7 @@ def grid_search(
             parallelism=parallelism,
         ).fit(fitted)
         best = max(range(len(points)), key=lambda i: search.avgMetrics[i])
-        test = to_vectors(frame.filter(F.col("fold") == fold), columns, medians)
+        test = to_vectors(frame.filter(F.col("fold") == fold), medians)
         outer = metrics.roc_auc(_scored(search.bestModel, test, "target"))
         results = frame.sparkSession.createDataFrame(
             [

@@ -3,7 +3,8 @@
 Both return one row per (admission, step, item): ``x`` is 0 where nothing was
 measured, ``m`` marks measured cells, ``delta`` is the time in hours since the
 item was last observed (since the first step if never).  Steps run forward in
-time within one admission.
+time within one admission.  The labs have one row per admission, item and chart
+time, see ``dedupe_labs``; two rows for one cell fail the job.
 """
 
 from __future__ import annotations
@@ -20,16 +21,10 @@ from lacuna.operators.series import with_bins
 STAY = ["subject_id", "hadm_id"]
 
 
-def _latest(labs: DataFrame, *step: str) -> DataFrame:
-    """Last value written per admission, step and item (ties: the largest)."""
-    written = F.max_by("valuenum", F.struct("charttime", "valuenum"))
-    return labs.groupBy(*STAY, *step, "itemid").agg(written.alias("x"))
-
-
-def _cells(latest: DataFrame, *step: str) -> DataFrame:
-    """One row per step with its item-to-value map (at most one entry per item)."""
-    entries = F.collect_list(F.struct("itemid", "x"))
-    return latest.groupBy(*STAY, *step).agg(F.map_from_entries(entries).alias("cells"))
+def _cells(rows: DataFrame, *step: str, value: str = "valuenum") -> DataFrame:
+    """One row per step with its item-to-value map (one entry per item)."""
+    entries = F.collect_list(F.struct("itemid", value))
+    return rows.groupBy(*STAY, *step).agg(F.map_from_entries(entries).alias("cells"))
 
 
 def _over_items(steps: DataFrame, items: Sequence[int]) -> DataFrame:
@@ -49,11 +44,16 @@ def _pair() -> Column:
 
 def xmd_binned(labs: DataFrame, items: Sequence[int], width: int = 12) -> DataFrame:
     """Steps are the admission's time bins; ``t`` is the bin start in hours
-    before discharge."""
-    latest = _latest(with_bins(labs, width), "bin").repartition("hadm_id")
+    before discharge, ``x`` the last value written in the bin."""
+    latest = (
+        with_bins(labs, width)
+        .groupBy(*STAY, "bin", "itemid")
+        .agg(F.max_by("valuenum", "charttime").alias("x"))
+        .repartition("hadm_id")
+    )
     forward = W.partitionBy("hadm_id").orderBy(F.desc("bin"))
     steps = (
-        _cells(latest, "bin")
+        _cells(latest, "bin", value="x")
         .withColumn("step", F.row_number().over(forward) - 1)
         .withColumn("first_bin", F.max("bin").over(W.partitionBy("hadm_id")))
     )
@@ -78,8 +78,12 @@ def xmd_irregular(labs: DataFrame, items: Sequence[int], segment_hours: float =
     a table with one row per segment (and item).
     """
     timed = with_bins(labs).withColumn("t", -F.col("hours"))
-    steps = _cells(_latest(timed, "charttime", "t"), "charttime", "t").withColumn(
-        "segment", F.floor(F.col("t") / segment_hours)
+    # the filter holds for every row; stated here, all three uses of the steps have
+    # the same plan and share one shuffle
+    steps = (
+        _cells(timed, "charttime", "t")
+        .withColumn("segment", F.floor(F.col("t") / segment_hours))
+        .filter(F.col("segment").isNotNull() & F.col("hadm_id").isNotNull())
     )
 
     part = ["hadm_id", "segment"]

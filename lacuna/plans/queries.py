@@ -396,13 +396,9 @@ def label_align(t: Testbed) -> DataFrame:
     return matrix.join_label(index, t.demographics.select("hadm_id", "subject_id", "target"))
 
 
-def wide_features(t: Testbed, width: int = WIDTH, last_bin: int = LAST_BIN) -> DataFrame:
-    return matrix.pivot_features(series.fill(_dense(t, width)), ITEMS, last_bin)
-
-
 @query
 def pivot_wide(t: Testbed) -> DataFrame:
-    wide = wide_features(t)
+    wide = matrix.pivot_features(series.fill(_dense(t)), ITEMS, LAST_BIN)
     return wide.select("hadm_id", *[r6(f"`{c}`").alias(c) for c in wide.columns[1:]])
 
 
@@ -433,12 +429,11 @@ KNN_WIDTH, KNN_LAST_BIN = 84, 2
 @query
 def knn_impute(t: Testbed) -> DataFrame:
     means = series.bin_mean(t.window_labs, KNN_WIDTH)
-    wide = matrix.pivot_features(means, ITEMS, KNN_LAST_BIN, value="mean")
-    split = cut_lineage(sampling.holdout(wide, seed=0))
-    columns = matrix.feature_columns(ITEMS, KNN_LAST_BIN)
-    train = split.filter("is_test = 0")
-    filled = impute.knn_impute(split, train, columns)
-    return impute.to_long(filled, columns).withColumn("value", r6("value"))
+    vectors = matrix.vector_features(means, ITEMS, KNN_LAST_BIN, value="mean")
+    split = cut_lineage(sampling.holdout(vectors, seed=0))
+    filled = impute.knn_impute(split, split.filter("is_test = 0"))
+    names = matrix.feature_columns(ITEMS, KNN_LAST_BIN)
+    return matrix.named_cells(filled, names).withColumn("value", r6("value"))
 
 
 @query
@@ -624,7 +619,8 @@ COLUMNS = matrix.feature_columns(ITEMS, 7)
 
 
 def _frame(t: Testbed) -> DataFrame:
-    return models.training_frame(wide_features(t, 24, 7), _labels(t), k=FOLDS)
+    vectors = matrix.vector_features(series.fill(_dense(t, 24)), ITEMS, 7)
+    return models.training_frame(vectors, _labels(t), k=FOLDS)
 
 
 def _forest(_: int) -> models.Estimator:

@@ -36,100 +36,89 @@ class Testbed:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """Each file is listed and its footer read once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def events(self) -> DataFrame:
-        period = F.floor(F.date_diff(F.to_date("ts"), F.lit(FIRST_DAY).cast("date")) / PERIOD_DAYS)
-        return self.table("events").withColumn("hadm_id", F.col("user_id") * 10 + period)
+        period = f"floor(date_diff(date(ts), DATE '{FIRST_DAY}') / {PERIOD_DAYS})"
+        return self.table("events").selectExpr("*", f"user_id * 10 + {period} AS hadm_id")
 
     @cached_property
     def labevents(self) -> DataFrame:
-        kind, event = F.col("event_type"), F.col("event_id")
-        item = F.lit(ITEM_CODES["view"])
-        for name, code in ITEM_CODES.items():
-            if name != "view":
-                item = F.when(kind == name, code).otherwise(item)
-        kept = self.events.filter(
-            ~((kind == "error") & (event % 3 != 0))
-            & ~((kind == "signup") & (F.col("user_id") % 2 == 1))
-        )
-        shifted = F.col("ts") - F.expr("interval 10 days")
-        labs = kept.select(
-            event.alias("labevent_id"),
-            F.col("user_id").alias("subject_id"),
-            "hadm_id",
-            item.alias("itemid"),
-            F.when(F.col("hadm_id") % 17 == 3, shifted)
-            .when(event % 101 != 0, F.col("ts"))
-            .alias("charttime"),
-            F.when(event % 11 != 0, F.col("value")).alias("valuenum"),
-        )
+        items = " ".join(f"WHEN '{kind}' THEN {code}" for kind, code in ITEM_CODES.items())
         # every 50th event is charted twice, the copy one unit higher
-        copies = F.when(F.col("labevent_id") % 50 == 0, F.array(F.lit(0), F.lit(1)))
-        return labs.withColumn("copy", F.explode(copies.otherwise(F.array(F.lit(0))))).select(
-            (F.col("labevent_id") + F.col("copy") * 1_000_000_000).alias("labevent_id"),
-            "subject_id",
-            "hadm_id",
-            "itemid",
-            "charttime",
-            (F.col("valuenum") + F.col("copy")).alias("valuenum"),
+        return (
+            self.events.filter(
+                "NOT (event_type = 'error' AND event_id % 3 <> 0)"
+                " AND NOT (event_type = 'signup' AND user_id % 2 = 1)"
+            )
+            .selectExpr(
+                "*",
+                "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS copy",
+            )
+            .selectExpr(
+                "event_id + copy * 1000000000L AS labevent_id",
+                "user_id AS subject_id",
+                "hadm_id",
+                f"CASE event_type {items} END AS itemid",
+                "CASE WHEN hadm_id % 17 = 3 THEN ts - INTERVAL 10 DAYS"
+                " WHEN event_id % 101 <> 0 THEN ts END AS charttime",
+                "CASE WHEN event_id % 11 <> 0 THEN value + copy END AS valuenum",
+            )
         )
 
     @cached_property
     def patients(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self.table("customer").select(
-            key.alias("subject_id"),
-            F.when(key % 97 == 5, None).when(key % 2 == 0, "M").otherwise("F").alias("gender"),
-            F.when(key % 89 != 7, 18 + key % 73).alias("anchor_age"),
+        return self.table("customer").selectExpr(
+            "c_custkey AS subject_id",
+            "CASE WHEN c_custkey % 97 = 5 THEN NULL WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender",
+            "CASE WHEN c_custkey % 89 <> 7 THEN 18 + c_custkey % 73 END AS anchor_age",
         )
 
     @cached_property
     def admissions(self) -> DataFrame:
-        races = F.array(*[F.lit(r).cast("string") for r in RACES])
-        stays = self.table("customer").withColumn("p", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-        start = F.to_timestamp_ntz(F.lit(f"{FIRST_DAY} 00:00:00"))
-        admitted = start + F.make_dt_interval(days=F.col("p") * PERIOD_DAYS)
-        segment = F.col("c_mktsegment")
-        return stays.select(
-            (F.col("c_custkey") * 10 + F.col("p")).alias("hadm_id"),
-            F.col("c_custkey").alias("subject_id"),
-            admitted.alias("admittime"),
-            (admitted + F.make_dt_interval(days=F.lit(STAY_DAYS))).alias("dischtime"),
-            F.get(races, F.col("c_nationkey") % 10).alias("race"),
-            F.when(segment == "BUILDING", "Private").otherwise(segment).alias("insurance"),
+        races = ", ".join("NULL" if race is None else f"'{race}'" for race in RACES)
+        start = f"TIMESTAMP_NTZ '{FIRST_DAY} 00:00:00'"
+        return (
+            self.table("customer")
+            .selectExpr("*", "explode(array(0, 1, 2)) AS p")
+            .selectExpr(
+                "c_custkey * 10 + p AS hadm_id",
+                "c_custkey AS subject_id",
+                f"{start} + make_dt_interval(p * {PERIOD_DAYS}) AS admittime",
+                f"{start} + make_dt_interval(p * {PERIOD_DAYS} + {STAY_DAYS}) AS dischtime",
+                f"get(array({races}), c_nationkey % 10) AS race",
+                "CASE c_mktsegment WHEN 'BUILDING' THEN 'Private' ELSE c_mktsegment END AS insurance",
+            )
         )
 
     @cached_property
     def targets(self) -> DataFrame:
-        return self.events.groupBy("hadm_id").agg(
-            (F.max("value") > 220).cast("int").alias("target")
-        )
+        return self.events.groupBy("hadm_id").agg(F.expr("int(max(value) > 220) AS target"))
 
     @cached_property
     def cohort(self) -> DataFrame:
         last_user = self.table("events").agg(F.max("user_id")).scalar()
-        listed = self.admissions.filter(
-            (F.col("subject_id") <= last_user + 20) & (F.col("hadm_id") % 13 != 0)
-        ).drop("race", "insurance")
-        return listed.join(self.targets, "hadm_id", "left").select(
-            "subject_id",
-            "hadm_id",
-            "admittime",
-            "dischtime",
-            F.coalesce("target", F.lit(0)).alias("target"),
+        return (
+            self.admissions.filter((F.col("subject_id") <= last_user + 20) & F.expr("hadm_id % 13 <> 0"))
+            .join(self.targets, "hadm_id", "left")
+            .selectExpr(
+                "subject_id", "hadm_id", "admittime", "dischtime", "coalesce(target, 0) AS target"
+            )
         )
 
     @cached_property
     def extracted_list(self) -> DataFrame:
         """The extract's id list, in which either id may be missing."""
-        subject, admission = F.col("subject_id"), F.col("hadm_id")
-        return self.admissions.select(
-            F.when(subject % 97 != 5, subject).alias("subject_id"),
-            F.when(admission % 89 != 7, admission).alias("hadm_id"),
+        return self.admissions.selectExpr(
+            "CASE WHEN subject_id % 97 <> 5 THEN subject_id END AS subject_id",
+            "CASE WHEN hadm_id % 89 <> 7 THEN hadm_id END AS hadm_id",
         )
 
     @cached_property
