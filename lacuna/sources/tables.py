@@ -87,7 +87,7 @@ def list_tables(spark: SparkSession, schema: str) -> list[str]:
     """Tables of one of the two source schemas."""
     if schema not in SCHEMAS:
         raise ValueError(f"schema must be one of {SCHEMAS}")
-    return sorted(t.name for t in spark.catalog.listTables(schema))
+    return sorted(t.name for t in spark.catalog.listTables(schema) if not t.isTemporary)
 
 
 def read_table(spark: SparkSession, table: str, schema: str | None = None) -> DataFrame:
