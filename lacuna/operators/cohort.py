@@ -158,6 +158,17 @@ def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
+def parse_times(df: DataFrame, columns: Sequence[str] = ("charttime", "dischtime")) -> DataFrame:
+    """Parse text times; text that is no time fails the job (``coerce_cohort`` gives
+    null instead)."""
+    return df.withColumns({c: F.to_timestamp_ntz(F.col(c)) for c in columns})
+
+
+def subject_list(cohort: DataFrame) -> DataFrame:
+    """Distinct subjects in order."""
+    return cohort.select("subject_id").distinct().orderBy("subject_id")
+
+
 def coerce_cohort(raw: DataFrame) -> DataFrame:
     """Parse a cohort read as text; what does not parse becomes null."""
     times = [F.col(c).try_cast("timestamp_ntz").alias(c) for c in ("admittime", "dischtime")]

@@ -196,6 +196,16 @@ xmd AS (
   FROM xgrid g)"""
 
 
+VMD = (
+    filled(CHAIN, width=84)
+    + XMD_BINNED.format(w=84, items=ITEM_LIST).replace(WINDOW, "")
+    + """,
+cells AS (
+  SELECT x.hadm_id, x.itemid, x.bin, f.filled AS v, x.m, x.delta AS d
+  FROM xmd x LEFT JOIN filled f ON f.hadm_id = x.hadm_id AND f.itemid = x.itemid AND f.bin = x.bin)"""
+)
+
+
 def _last_n_columns(suffix: str = "") -> list[tuple[str, str]]:
     return [
         (f"itemid_{i}_last_{b}h{suffix}", f"itemid = {i} AND hour_bin = {b}") for i in ITEMS for b in range(1, 28)
@@ -318,11 +328,14 @@ def all_sql() -> dict[str, str]:
         "m": "max(CASE WHEN {cond} THEN m END)",
         "d": "round(max(CASE WHEN {cond} THEN d END), 6) + 0.0",
     }
-    vmd_cells = ", ".join(
-        f'{vmd[letter].format(cond=cond)} AS "{name}"'
-        for letter in "vmd"
-        for name, cond in matrix_columns(2, f"{letter}_")
-    )
+    def vmd_set(letters: str) -> str:
+        columns = ", ".join(
+            f'{vmd[letter].format(cond=cond)} AS "{name}"'
+            for letter in letters
+            for name, cond in matrix_columns(2, f"{letter}_")
+        )
+        return VMD + f" SELECT hadm_id, {columns} FROM cells GROUP BY hadm_id"
+
     sql = {
         "cohort_build": " SELECT * FROM people",
         "extract_labs": EXTRACT + " SELECT * FROM extract",
@@ -365,6 +378,7 @@ SELECT subject_id, hadm_id FROM admissions
 WHERE subject_id % 97 <> 5 AND hadm_id % 89 <> 7
   AND (subject_id, hadm_id) NOT IN (SELECT (subject_id, hadm_id) FROM extract)
 ORDER BY subject_id, hadm_id LIMIT 10""",
+        "subject_list": " SELECT DISTINCT subject_id FROM cohort ORDER BY subject_id",
         "coerce_types": """
 SELECT subject_id, hadm_id, CASE WHEN hadm_id % 7 <> 0 THEN admittime END AS admittime,
        CASE WHEN hadm_id % 11 <> 0 THEN dischtime END AS dischtime,
@@ -428,13 +442,8 @@ SELECT subject_id || '_' || hadm_id AS stay, step, charttime, itemid, round(t, 6
        round(t - coalesce(max(CASE WHEN seen THEN t END) OVER (
          PARTITION BY hadm_id, itemid ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), t0), 6) + 0.0 AS delta
 FROM igrid""",
-        "feature_sets": filled(CHAIN, width=84)
-        + XMD_BINNED.format(w=84, items=ITEM_LIST).replace(WINDOW, "")
-        + f""",
-cells AS (
-  SELECT x.hadm_id, x.itemid, x.bin, f.filled AS v, x.m, x.delta AS d
-  FROM xmd x LEFT JOIN filled f ON f.hadm_id = x.hadm_id AND f.itemid = x.itemid AND f.bin = x.bin)
-SELECT hadm_id, {vmd_cells} FROM cells GROUP BY hadm_id""",
+        "feature_sets": vmd_set("vmd"),
+        "feature_set_md": vmd_set("md"),
         "item_stats": WINDOW + """
 SELECT itemid, count(*) AS count, round(count(*) / (SELECT count(DISTINCT hadm_id) FROM wl), 6) + 0.0 AS freq_ts,
        round(avg(n), 6) + 0.0 AS num_ts

@@ -23,6 +23,8 @@ from lacuna.operators import (
     series,
     xmd,
 )
+from lacuna.config import ExperimentConfig
+from lacuna.plans.experiment import run_experiment
 from lacuna.plans.testbed import ITEMS, Testbed
 from lacuna.session import cut_lineage, new_path
 from lacuna.sources import tables
@@ -124,6 +126,11 @@ def first_missing_pairs(t: Testbed) -> DataFrame:
     return co.first_missing_pairs(t.extracted_list, extract)
 
 
+@query
+def subject_list(t: Testbed) -> DataFrame:
+    return co.subject_list(t.cohort)
+
+
 @query
 def coerce_types(t: Testbed) -> DataFrame:
     stay = F.col("hadm_id")
@@ -334,10 +341,19 @@ def _vmd_cells(t: Testbed, width: int) -> DataFrame:
     return grid.join(filled, ["hadm_id", "itemid", "bin"], "left")
 
 
+def _feature_set(t: Testbed, kind: str) -> DataFrame:
+    wide = matrix.feature_set(_vmd_cells(t, 84), kind, ITEMS, 2)
+    return wide.select("hadm_id", *[(F.col(c) if c[0] == "m" else r6(c)).alias(c) for c in wide.columns[1:]])
+
+
 @query
 def feature_sets(t: Testbed) -> DataFrame:
-    wide = matrix.feature_set(_vmd_cells(t, 84), "VMD", ITEMS, 2)
-    return wide.select("hadm_id", *[(F.col(c) if c[0] == "m" else r6(c)).alias(c) for c in wide.columns[1:]])
+    return _feature_set(t, "VMD")
+
+
+@query
+def feature_set_md(t: Testbed) -> DataFrame:
+    return _feature_set(t, "MD")
 
 
 # ---- items -----------------------------------------------------------------
@@ -641,6 +657,13 @@ def cv_summary(t: Testbed) -> DataFrame:
     return metrics.fold_summary(models.fold_metrics(scores), ("recall", "f1", "roc_auc"))
 
 
+@query
+def experiment_gender(t: Testbed) -> DataFrame:
+    """Whole pipeline with another label and the missingness features alone."""
+    config = ExperimentConfig(label="gender", feature_set="MD", bin_hours=24, model="gbt", folds=2)
+    return run_experiment(co.extract_labs(t.demographics, t.labevents), config, ITEMS)
+
+
 @query
 def rf_grid(t: Testbed) -> DataFrame:
     grid = {"n_estimators": (10,), "max_depth": (2, 5), "class_weight": (None, {0: 0.5, 1: 2})}

@@ -10,8 +10,10 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from lacuna.config import ExperimentConfig
 from lacuna.functions import hashing
 from lacuna.operators import impute, matrix, metrics, models, quality, ranking, sampling
+from lacuna.plans import experiment
 
 
 def test_row_number_is_the_global_order(spark):
@@ -230,3 +232,30 @@ def test_forest_parameters():
     assert models.logistic_regression(100, "l1", 0.1).getRegParam() == pytest.approx(0.1)
     with pytest.raises(ValueError):
         models.logistic_regression(100, "elastic")
+
+
+@pytest.mark.parametrize("feature_set", ["V", "M", "VMD"])
+def test_feature_vectors_of_an_extract(spark, feature_set):
+    from test_series import random_labs
+
+    config = ExperimentConfig(feature_set=feature_set, bin_hours=24)
+    labs = random_labs(spark, 3)
+    names = experiment.feature_names(config, [1, 2, 3])
+    rows = experiment.feature_vectors(labs, config, [1, 2, 3]).collect()
+    assert len(names) == 3 * 8 * len(feature_set)
+    assert len(rows) == labs.select("hadm_id").distinct().count()
+    assert all(len(r["values"]) == len(names) for r in rows)
+    if feature_set == "M":
+        assert {x for r in rows for x in r["values"]} == {0.0, 1.0}
+
+
+def test_experiment_end_to_end(spark, tmp_path):
+    from test_series import random_labs
+
+    labs = random_labs(spark, 6, admissions=60, rows=900)
+    config = ExperimentConfig(bin_hours=24, folds=2, model="logistic_regression", metrics=("recall", "precision"))
+    found = experiment.run_experiment(labs, config, output=str(tmp_path / "folds"))
+    assert found.columns == ["fold", "recall", "f1", "roc_auc", "precision"] and found.count() == 2
+    assert {r.metric for r in experiment.summarise(found, config).collect()} == {"recall", "precision"}
+    with pytest.raises(ValueError):
+        experiment.labels_of(labs, ExperimentConfig(label="race"))

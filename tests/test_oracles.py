@@ -17,6 +17,7 @@ def test_every_oracle_has_a_query():
     assert set(QUERIES) - set(ORACLES) == {
         "rf_cv",
         "cv_summary",
+        "experiment_gender",
         "rf_grid",
         "rf_importance",
         "permutation_importance",

@@ -197,3 +197,11 @@ def test_window_ends_are_inclusive_and_preserve_all_keeps_everyone(spark):
     assert {r.hadm_id for r in everyone.collect()} == {10, 20, 30}
     assert [r.hadm_id for r in co.lost_to_window(cohort, kept).collect()] == [20]
     assert [r.hadm_id for r in co.admissions_without_labs(kept).collect()] == [30]
+
+
+def test_strict_time_parsing_fails_on_bad_text(spark):
+    good = spark.createDataFrame([("2024-01-01 10:00:00",)], "charttime string")
+    assert co.parse_times(good, ["charttime"]).first()[0] == dt.datetime(2024, 1, 1, 10)
+    bad = spark.createDataFrame([("soon",)], "charttime string")
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|CAST_INVALID_INPUT"):
+        co.parse_times(bad, ["charttime"]).collect()
