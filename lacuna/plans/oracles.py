@@ -393,10 +393,10 @@ UNION ALL
 SELECT 'labs', CAST(labevent_id AS VARCHAR), md5(hadm_id || '|' || itemid), charttime, valuenum FROM labevents""",
         "parquet_roundtrip": means() + " SELECT hadm_id, itemid, bin, round(mean, 6) + 0.0 AS mean FROM bm",
         "window_filter": """
-SELECT labevent_id, hadm_id, itemid, round(hours, 6) + 0.0 AS hours FROM (
-  SELECT l.labevent_id, l.hadm_id, l.itemid, (epoch_us(c.dischtime) - epoch_us(l.charttime)) / 3.6e9 AS hours
+SELECT labevent_id, hadm_id, itemid, micros_before FROM (
+  SELECT l.labevent_id, l.hadm_id, l.itemid, epoch_us(c.dischtime) - epoch_us(l.charttime) AS micros_before
   FROM labevents l JOIN cohort c ON c.subject_id = l.subject_id AND c.hadm_id = l.hadm_id)
-WHERE hours BETWEEN 0 AND 168""",
+WHERE micros_before BETWEEN 0 AND 168 * 3600000000""",
         "time_bins": WINDOW + """
 SELECT subject_id, hadm_id, itemid, charttime, CAST(floor(h / 12) AS INTEGER) AS bin,
        floor(h / 6) * 6 AS bin_start, least(CAST(floor(h / 6) AS INTEGER) + 1, 27) AS capped_bin
@@ -437,10 +437,10 @@ igrid AS (
   SELECT s.*, i.itemid, w.valuenum, w.hadm_id IS NOT NULL AS seen
   FROM steps s CROSS JOIN {ITEM_LIST} i
   LEFT JOIN wl w ON w.hadm_id = s.hadm_id AND w.charttime = s.charttime AND w.itemid = i.itemid)
-SELECT subject_id || '_' || hadm_id AS stay, step, charttime, itemid, round(t, 6) + 0.0 AS t,
+SELECT subject_id || '_' || hadm_id AS stay, step, charttime, itemid, CAST(round(t * 3.6e9) AS BIGINT) AS t_micros,
        round(CASE WHEN seen THEN valuenum ELSE 0.0 END, 6) + 0.0 AS x, CAST(seen AS INTEGER) AS m,
-       round(t - coalesce(max(CASE WHEN seen THEN t END) OVER (
-         PARTITION BY hadm_id, itemid ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), t0), 6) + 0.0 AS delta
+       CAST(round((t - coalesce(max(CASE WHEN seen THEN t END) OVER (
+         PARTITION BY hadm_id, itemid ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), t0)) * 3.6e9) AS BIGINT) AS delta_micros
 FROM igrid""",
         "feature_sets": vmd_set("vmd"),
         "feature_set_md": vmd_set("md"),
@@ -587,7 +587,7 @@ mask AS (
     SELECT 1 FROM wl WHERE wl.hadm_id = s.hadm_id AND wl.itemid = i.itemid AND CAST(floor(wl.hours / 12) AS INTEGER) = b.bin) AS m
   FROM (SELECT DISTINCT hadm_id FROM wl) s CROSS JOIN {ITEM_LIST} i CROSS JOIN (SELECT unnest(range(15)) AS bin) b)
 SELECT k.hadm_id, k.itemid, k.ever_measured, k.frequency, k.mask_sd,
-       round(w.first_hours, 6) + 0.0 AS first_hours, round(w.last_hours, 6) + 0.0 AS last_hours
+       CAST(round(w.first_hours * 3.6e9) AS BIGINT) AS first_micros, CAST(round(w.last_hours * 3.6e9) AS BIGINT) AS last_micros
 FROM (SELECT hadm_id, itemid, CAST(bool_or(m) AS INTEGER) AS ever_measured, round(avg(m::INTEGER), 6) + 0.0 AS frequency,
              round(stddev_samp(m::INTEGER), 6) + 0.0 AS mask_sd FROM mask GROUP BY 1, 2) k
 LEFT JOIN (SELECT hadm_id, itemid, max(hours) AS first_hours, min(hours) AS last_hours FROM wl GROUP BY 1, 2) w

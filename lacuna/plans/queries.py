@@ -55,6 +55,11 @@ def r6(column: Column | str) -> Column:
     return F.round(column, 6) + F.lit(0.0)
 
 
+def micros(hours: str) -> Column:
+    """Hours as whole microseconds: exact, so nothing sits on a rounding edge."""
+    return F.round(F.col(hours) * 3.6e9).cast("bigint")
+
+
 # ---- cohort and extraction -------------------------------------------------
 
 
@@ -201,7 +206,7 @@ def parquet_roundtrip(t: Testbed) -> DataFrame:
 def window_filter(t: Testbed) -> DataFrame:
     labs = t.labevents.join(t.cohort.select(*co.KEYS, "dischtime"), co.KEYS)
     timed = series.with_bins(labs).filter(F.col("hours") <= 168)
-    return timed.select("labevent_id", "hadm_id", "itemid", r6("hours").alias("hours"))
+    return timed.select("labevent_id", "hadm_id", "itemid", micros("hours").alias("micros_before"))
 
 
 @query
@@ -329,7 +334,14 @@ def xmd_binned(t: Testbed) -> DataFrame:
 def xmd_irregular(t: Testbed) -> DataFrame:
     grid = xmd.xmd_irregular(t.window_labs, ITEMS)
     return grid.select(
-        "stay", "step", "charttime", "itemid", r6("t").alias("t"), r6("x").alias("x"), "m", r6("delta").alias("delta")
+        "stay",
+        "step",
+        "charttime",
+        "itemid",
+        micros("t").alias("t_micros"),
+        r6("x").alias("x"),
+        "m",
+        micros("delta").alias("delta_micros"),
     )
 
 
@@ -592,8 +604,15 @@ def dq_invalid_ids(t: Testbed) -> DataFrame:
 @query
 def missingness_features(t: Testbed) -> DataFrame:
     found = insight.missingness_features(t.window_labs, ITEMS, WIDTH, LAST_BIN + 1)
-    rounded = ("frequency", "mask_sd", "first_hours", "last_hours")
-    return found.select("hadm_id", "itemid", "ever_measured", *[r6(c).alias(c) for c in rounded])
+    return found.select(
+        "hadm_id",
+        "itemid",
+        "ever_measured",
+        r6("frequency").alias("frequency"),
+        r6("mask_sd").alias("mask_sd"),
+        micros("first_hours").alias("first_micros"),
+        micros("last_hours").alias("last_micros"),
+    )
 
 
 @query
