@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lacuna.functions import codes
+from lacuna.operators.lookup import map_of, set_of
+
 
 def item_stats(labs: DataFrame) -> DataFrame:
     """Per item: admissions having it, their share (``freq_ts``) and the mean
@@ -28,7 +31,8 @@ def select_items(stats: DataFrame, npoints: float = 5, minfreq: float = 0.75) ->
 
 
 def keep_items(labs: DataFrame, selected: DataFrame) -> DataFrame:
-    return labs.join(selected.select("itemid"), "itemid", "left_semi")
+    """Labs of the selected items (a part of the item dictionary)."""
+    return labs.filter(F.array_contains(set_of(selected, "itemid"), F.col("itemid")))
 
 
 def top_items(stats: DataFrame, by: str = "count", n: int | None = None) -> DataFrame:
@@ -46,9 +50,15 @@ def item_index(labs: DataFrame) -> DataFrame:
 def zscore(labs: DataFrame, value: str = "valuenum", population: bool = False) -> DataFrame:
     """Standardise per item on observed values; constant items give null."""
     sd = F.stddev_pop(value) if population else F.stddev_samp(value)
-    stats = labs.groupBy("itemid").agg(F.avg(value).alias("item_mean"), sd.alias("item_sd"))
-    spread = F.when(F.col("item_sd") != 0, F.col("item_sd"))
-    return labs.join(stats, "itemid").withColumn("z", (F.col(value) - F.col("item_mean")) / spread)
+    stats = labs.groupBy("itemid").agg(F.avg(value).alias("mean"), sd.alias("sd"))
+    per_item = map_of(stats, "itemid", F.struct("mean", "sd"))
+    spread = F.when(F.col("_s.sd") != 0, F.col("_s.sd"))
+    return (
+        labs.withColumn("_m", per_item)
+        .withColumn("_s", F.try_element_at("_m", F.col("itemid")))
+        .withColumn("z", (F.col(value) - F.col("_s.mean")) / spread)
+        .drop("_m", "_s")
+    )
 
 
 def encode_labels(df: DataFrame, label: str, name: str) -> DataFrame:
@@ -60,8 +70,6 @@ def encode_labels(df: DataFrame, label: str, name: str) -> DataFrame:
 
 def label_column(kind: str, age_threshold: int = 30, insurance: str = "Private") -> Column:
     """The training label of one admission; ``race`` stays text for ``encode_labels``."""
-    from lacuna.functions import codes
-
     choices = {
         "target": F.col("target").cast("int"),
         "gender": codes.gender_code(F.col("gender")),

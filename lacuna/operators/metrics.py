@@ -44,17 +44,12 @@ def confusion(
 
 def _by_score(df: DataFrame, label: str, score: str, within: Sequence[str]) -> DataFrame:
     """Per distinct score: positives and negatives, their running totals and the
-    group totals P and N."""
+    group totals."""
     actual = F.col(label)
     counted = df.groupBy(*within, score).agg(
         F.count_if(actual == 1).alias("pos"), F.count_if(actual == 0).alias("neg")
     )
-    running = with_running_totals(counted, score, ["pos", "neg"], within)
-    totals = [F.sum("pos").alias("P"), F.sum("neg").alias("N")]
-    if within:
-        return running.join(counted.groupBy(*within).agg(*totals), list(within))
-    both = counted.agg(F.struct(*totals).alias("t")).scalar()
-    return running.withColumn("_t", both).select("*", "_t.P", "_t.N").drop("_t")
+    return with_running_totals(counted, score, ["pos", "neg"], within)
 
 
 def roc_auc(
@@ -64,7 +59,7 @@ def roc_auc(
     points = _by_score(df, label, score, within)
     below = F.col("cum_neg") - F.col("neg")
     won = F.sum(F.col("pos") * (below + F.col("neg") / 2))
-    pairs = F.max(F.col("P") * F.col("N"))
+    pairs = F.max(F.col("tot_pos") * F.col("tot_neg"))
     return points.groupBy(*within).agg(F.when(pairs > 0, won / pairs).alias("roc_auc"))
 
 
@@ -74,16 +69,16 @@ def pr_points(
     """Precision and recall at each distinct threshold and at the next higher one
     (recall 0, precision 1 above the highest)."""
     points = _by_score(df, label, score, within)
-    tp_above, fp_above = F.col("P") - F.col("cum_pos"), F.col("N") - F.col("cum_neg")
+    tp_above, fp_above = F.col("tot_pos") - F.col("cum_pos"), F.col("tot_neg") - F.col("cum_neg")
     tp, fp = tp_above + F.col("pos"), fp_above + F.col("neg")
     above = tp_above + fp_above
     return points.select(
         *within,
         F.col(score).alias("threshold"),
         (tp / (tp + fp)).alias("precision"),
-        (tp / F.col("P")).alias("recall"),
+        (tp / F.col("tot_pos")).alias("recall"),
         F.when(above > 0, tp_above / above).otherwise(F.lit(1.0)).alias("next_precision"),
-        (tp_above / F.col("P")).alias("next_recall"),
+        (tp_above / F.col("tot_pos")).alias("next_recall"),
     )
 
 
@@ -128,8 +123,8 @@ def conformal_sets(
     """
     p_true = F.when(F.col(label) == 1, F.col(score)).otherwise(1 - F.col(score))
     scores = df.filter(calibrate).select((1 - p_true).alias("cut"))
-    rank = F.ceil((F.col("n") + 1) * (1 - alpha))
-    cut = F.coalesce(order_statistic(scores, "cut", rank).scalar(), F.lit(float("inf")))
+    found = order_statistic(scores, "cut", lambda n: F.ceil((n + 1) * (1 - alpha)))
+    cut = F.coalesce(found.scalar(), F.lit(float("inf")))
     tested = df.filter(~calibrate).withColumn("_cut", cut)
     keep1 = (1 - F.col(score)) <= F.col("_cut")
     keep0 = F.col(score) <= F.col("_cut")

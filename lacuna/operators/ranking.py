@@ -8,7 +8,7 @@ cell.  The result is exact.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -50,93 +50,79 @@ def with_running_totals(
     df: DataFrame, order: str, sums: Sequence[str], within: Sequence[str] = ()
 ) -> DataFrame:
     """Inclusive running totals ``cum_<c>`` of ``sums`` by ascending ``order``,
-    which is numeric and unique within a group.
+    which is numeric and unique within a group, and the group totals ``tot_<c>``.
 
-    The order column is scaled to [0, 1] per group and cut twice into 4096 cells,
-    so both offset windows see at most 4096 rows per group and the row windows
-    work on slices of 1/16.7 million of the value range.
+    The order column is scaled to [0, 1] and cut twice into 4096 cells, so the
+    offset windows see at most 4096 rows each and the row windows work on slices of
+    1/16.7 million of the value range.  The offsets reach the rows by a join on the
+    cell, which is also how the row windows are partitioned.
     """
     if not within:
         keyed = with_running_totals(df.withColumn("_all", F.lit(0)), order, sums, ["_all"])
         return keyed.drop("_all")
     within = list(within)
-    span = df.groupBy(*within).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-    unit = F.when(
-        F.col("_hi") > F.col("_lo"),
-        (F.col(order) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")),
-    ).otherwise(F.lit(0.0))
+    span = df.agg(F.struct(F.min(order).alias("lo"), F.max(order).alias("hi"))).scalar()
+    width = F.col("_s.hi") - F.col("_s.lo")
+    unit = F.when(width > 0, (F.col(order) - F.col("_s.lo")) / width).otherwise(F.lit(0.0))
     rows = (
-        df.join(span, within)
+        df.withColumn("_s", span)
         .withColumn("_u", unit * CELLS)
         .withColumn("_c1", F.floor("_u").cast("int"))
         .withColumn("_c2", F.floor((F.col("_u") - F.col("_c1")) * CELLS).cast("int"))
-        .drop("_lo", "_hi", "_u")
+        .drop("_s", "_u")
     )
     fine = rows.groupBy(*within, "_c1", "_c2").agg(*[F.sum(c).alias(c) for c in sums])
     coarse = fine.groupBy(*within, "_c1").agg(*[F.sum(c).alias(c) for c in sums])
 
-    def offsets(cells: DataFrame, partition: list[str], by: str, tag: str) -> DataFrame:
+    def before(c: str, partition: list[str], by: str) -> Column:
         earlier = W.partitionBy(*partition).orderBy(by).rowsBetween(*BEFORE)
-        return cells.select(
-            *partition,
-            by,
-            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{tag}_{c}") for c in sums],
-        )
-
-    upper = offsets(coarse, within, "_c1", "a")
-    lower = offsets(fine, [*within, "_c1"], "_c2", "b").join(upper, [*within, "_c1"])
+        return F.coalesce(F.sum(c).over(earlier), F.lit(0))
+
+    upper = coarse.select(
+        *within,
+        "_c1",
+        *[before(c, within, "_c1").alias(f"_a_{c}") for c in sums],
+        *[F.sum(c).over(W.partitionBy(*within)).alias(f"tot_{c}") for c in sums],
+    )
+    lower = fine.select(
+        *within,
+        "_c1",
+        "_c2",
+        *[before(c, [*within, "_c1"], "_c2").alias(f"_b_{c}") for c in sums],
+    ).join(upper, [*within, "_c1"])
     cell = [*within, "_c1", "_c2"]
     inside = W.partitionBy(*cell).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    out = rows.join(lower, cell)
-    for c in sums:
-        total = F.sum(c).over(inside) + F.col(f"_a_{c}") + F.col(f"_b_{c}")
-        out = out.withColumn(f"cum_{c}", total)
-    return out.select(*df.columns, *[f"cum_{c}" for c in sums])
+    running = [
+        (F.sum(c).over(inside) + F.col(f"_a_{c}") + F.col(f"_b_{c}")).alias(f"cum_{c}") for c in sums
+    ]
+    return rows.join(lower, cell).select(*df.columns, *running, *[f"tot_{c}" for c in sums])
+
+
+def _counted(df: DataFrame, value: str, within: Sequence[str]) -> DataFrame:
+    """Distinct values with their running count ``cum_w`` and group size ``tot_w``."""
+    counted = (
+        df.filter(F.col(value).isNotNull()).groupBy(*within, value).agg(F.count(F.lit(1)).alias("w"))
+    )
+    return with_running_totals(counted, value, ["w"], within)
 
 
 def order_statistic(
-    df: DataFrame, value: str, rank: Column, within: Sequence[str] = (), count: str = "n"
+    df: DataFrame, value: str, rank: Callable[[Column], Column], within: Sequence[str] = ()
 ) -> DataFrame:
     """The ``rank``-th smallest value (1-based) of each group.
 
-    ``rank`` is an expression over the group size column ``count``.  Equal values
-    are counted before anything is ordered.  Null when the rank exceeds the size.
+    ``rank`` maps the group size to the rank.  Equal values are counted before
+    anything is ordered.  Null when the rank exceeds the size.
     """
-    keys = list(within) or ["_all"]
-    base = df if within else df.withColumn("_all", F.lit(0))
-    counted = (
-        base.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("w"))
-    )
-    sizes = counted.groupBy(*keys).agg(F.sum("w").alias(count)).withColumn("_rank", rank)
-    found = (
-        with_running_totals(counted, value, ["w"], keys)
-        .join(sizes, keys)
-        .groupBy(*keys)
-        .agg(F.min(F.when(F.col("cum_w") >= F.col("_rank"), F.col(value))).alias(value))
+    reached = F.col("cum_w") >= rank(F.col("tot_w"))
+    return _counted(df, value, within).groupBy(*within).agg(
+        F.min(F.when(reached, F.col(value))).alias(value)
     )
-    return found if within else found.drop("_all")
 
 
 def median(df: DataFrame, value: str, within: Sequence[str] = (), name: str = "median") -> DataFrame:
     """Exact median (mean of the two middle values) of each group."""
-    n = F.col("n")
-    keys = list(within) or ["_all"]
-    base = df if within else df.withColumn("_all", F.lit(0))
-    counted = (
-        base.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("w"))
-    )
-    sizes = counted.groupBy(*keys).agg(F.sum("w").alias("n"))
-    reached = F.col("cum_w")
-    found = (
-        with_running_totals(counted, value, ["w"], keys)
-        .join(sizes, keys)
-        .groupBy(*keys)
-        .agg(
-            (
-                F.min(F.when(reached >= F.floor((n + 1) / 2), F.col(value)))
-                + F.min(F.when(reached >= F.floor(n / 2) + 1, F.col(value)))
-            ).alias("_pair")
-        )
-        .select(*keys, (F.col("_pair") / 2).alias(name))
-    )
-    return found if within else found.drop("_all")
+    n, reached = F.col("tot_w"), F.col("cum_w")
+    lower = F.min(F.when(reached >= F.floor((n + 1) / 2), F.col(value)))
+    upper = F.min(F.when(reached >= F.floor(n / 2) + 1, F.col(value)))
+    return _counted(df, value, within).groupBy(*within).agg(((lower + upper) / 2).alias(name))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.functions import hashing
+from lacuna.operators.lookup import map_of
 from lacuna.operators.ranking import with_row_number
 
 DRAWS_PER_CHUNK = 65_536
@@ -131,12 +132,11 @@ def class_weights(
         return df.withColumn(name, weight)
     if mode != "balanced":
         raise ValueError("mode must be None, 'balanced' or a mapping")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    totals = sizes.agg(F.struct(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
-    weighted = sizes.withColumn("_t", totals).select(
-        label, (F.col("_t.n") / (F.col("_t.k") * F.col("_n"))).alias(name)
-    )
-    return df.join(weighted, label)
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    per_class = map_of(sizes, label, "n")
+    total = F.aggregate(F.map_values("_m"), F.lit(0).cast("bigint"), lambda a, n: a + n)
+    share = F.size("_m") * F.try_element_at("_m", F.col(label))
+    return df.withColumn("_m", per_class).withColumn(name, total / share).drop("_m")
 
 
 def train_test(df: DataFrame, flag: str = "is_test") -> Sequence[DataFrame]:

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lacuna.functions import timing
+from lacuna.operators.lookup import map_of
 
 SERIES = ["hadm_id", "itemid"]
 METHODS = ("interpolate", "ffill", "bfill", "chain", "zero")
@@ -127,7 +128,7 @@ def fill_with_default(dense: DataFrame, defaults: DataFrame, default: str) -> Da
     """
     carried = fill(dense, "ffill", direction="chronological")
     return (
-        carried.join(defaults.select("itemid", default), "itemid", "left")
-        .withColumn("filled", F.coalesce("filled", default))
-        .drop(default)
+        carried.withColumn("_defaults", map_of(defaults, "itemid", default))
+        .withColumn("filled", F.coalesce("filled", F.try_element_at("_defaults", F.col("itemid"))))
+        .drop("_defaults")
     )

@@ -12,6 +12,7 @@ from lacuna.operators import cohort as co
 from lacuna.operators import items as it
 from lacuna.operators import matrix, metrics, models, series, xmd
 from lacuna.operators.quality import require_unique
+from lacuna.session import tune
 from lacuna.sources import tables
 
 LABEL_SOURCES = ("target", "gender", "anchor_age", "insurance")
@@ -88,6 +89,7 @@ def run_experiment(
     ``items`` defaults to every item of the extract; see ``select_items`` for the
     usual thresholds.  With ``output`` the fold metrics are also written as CSV.
     """
+    tune(extract.sparkSession)
     if items is None:
         items = item_ids(extract.filter("itemid IS NOT NULL"))
     names = feature_names(config, items)

@@ -25,7 +25,7 @@ from lacuna.operators import (
 )
 from lacuna.config import ExperimentConfig
 from lacuna.plans.experiment import run_experiment
-from lacuna.plans.testbed import ITEMS, Testbed
+from lacuna.plans.testbed import ITEMS, ClinicalTables
 from lacuna.session import cut_lineage, new_path
 from lacuna.sources import tables
 
@@ -39,11 +39,11 @@ FOLDS = 3
 TREES = {"n_estimators": 20, "max_depth": 5, "min_samples_split": 5}
 
 
-def query(build: Callable[[Testbed], DataFrame]) -> Callable[[Testbed], DataFrame]:
+def query(build: Callable[[ClinicalTables], DataFrame]) -> Callable[[ClinicalTables], DataFrame]:
     """Register under the function's name."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(Testbed(spark, folder))
+        return build(ClinicalTables(spark, folder))
 
     REGISTRY[build.__name__] = run
     return build
@@ -64,7 +64,7 @@ def micros(hours: str) -> Column:
 
 
 @query
-def cohort_build(t: Testbed) -> DataFrame:
+def cohort_build(t: ClinicalTables) -> DataFrame:
     views = (
         tables.register(t.cohort, "lacuna_cohort"),
         tables.register(t.admissions, "lacuna_admissions"),
@@ -74,70 +74,70 @@ def cohort_build(t: Testbed) -> DataFrame:
 
 
 @query
-def extract_labs(t: Testbed) -> DataFrame:
+def extract_labs(t: ClinicalTables) -> DataFrame:
     return co.extract_labs(t.demographics, t.labevents)
 
 
 @query
-def extract_labs_keep_all(t: Testbed) -> DataFrame:
+def extract_labs_keep_all(t: ClinicalTables) -> DataFrame:
     return co.extract_labs(t.demographics, t.labevents, preserve_all=True)
 
 
 @query
-def interval_join(t: Testbed) -> DataFrame:
+def interval_join(t: ClinicalTables) -> DataFrame:
     return co.labs_in_window(t.cohort, t.labevents).distinct()
 
 
 @query
-def semi_join_cohort(t: Testbed) -> DataFrame:
+def semi_join_cohort(t: ClinicalTables) -> DataFrame:
     return co.labs_of_cohort(t.labevents, t.cohort)
 
 
 @query
-def dedupe_labs(t: Testbed) -> DataFrame:
+def dedupe_labs(t: ClinicalTables) -> DataFrame:
     return co.dedupe_labs(co.labs_of_cohort(t.labevents, t.cohort), carry=(), count="n_merged")
 
 
 @query
-def duplicate_rows(t: Testbed) -> DataFrame:
+def duplicate_rows(t: ClinicalTables) -> DataFrame:
     keys = t.labevents.select("subject_id", "hadm_id", "itemid", "charttime")
     return quality.duplicate_rows(keys).withColumnRenamed("count", "n_rows")
 
 
 @query
-def admissions_without_labs(t: Testbed) -> DataFrame:
+def admissions_without_labs(t: ClinicalTables) -> DataFrame:
     return co.admissions_without_labs(co.extract_labs(t.demographics, t.labevents))
 
 
 @query
-def filtered_out_admissions(t: Testbed) -> DataFrame:
+def filtered_out_admissions(t: ClinicalTables) -> DataFrame:
     extract = co.extract_labs(t.demographics, t.labevents, distinct=False)
     return co.lost_to_window(t.cohort, extract)
 
 
 @query
-def summary_counts(t: Testbed) -> DataFrame:
+def summary_counts(t: ClinicalTables) -> DataFrame:
     return co.extraction_summary(t.cohort, co.extract_labs(t.demographics, t.labevents))
 
 
 @query
-def reconcile_missing(t: Testbed) -> DataFrame:
+def reconcile_missing(t: ClinicalTables) -> DataFrame:
     return co.missing_pairs(t.extracted_list, co.extract_labs(t.demographics, t.labevents, distinct=False))
 
 
 @query
-def first_missing_pairs(t: Testbed) -> DataFrame:
+def first_missing_pairs(t: ClinicalTables) -> DataFrame:
     extract = co.extract_labs(t.demographics, t.labevents, distinct=False)
     return co.first_missing_pairs(t.extracted_list, extract)
 
 
 @query
-def subject_list(t: Testbed) -> DataFrame:
+def subject_list(t: ClinicalTables) -> DataFrame:
     return co.subject_list(t.cohort)
 
 
 @query
-def coerce_types(t: Testbed) -> DataFrame:
+def coerce_types(t: ClinicalTables) -> DataFrame:
     stay = F.col("hadm_id")
     raw = t.demographics.select(
         F.concat(F.col("subject_id").cast("string"), F.lit(".0")).alias("subject_id"),
@@ -151,7 +151,7 @@ def coerce_types(t: Testbed) -> DataFrame:
 
 
 @query
-def union_batches(t: Testbed) -> DataFrame:
+def union_batches(t: ClinicalTables) -> DataFrame:
     extract = co.extract_labs(t.demographics, t.labevents)
     path = new_path(t.spark, "batches")
     tables.write_parquet(
@@ -165,7 +165,7 @@ def union_batches(t: Testbed) -> DataFrame:
 
 
 @query
-def csv_roundtrip(t: Testbed) -> DataFrame:
+def csv_roundtrip(t: ClinicalTables) -> DataFrame:
     documents = t.table("documents").select("doc_id", "text")
     plain = new_path(t.spark, "text-csv")
     tables.write_csv(documents, plain)
@@ -192,7 +192,7 @@ def csv_roundtrip(t: Testbed) -> DataFrame:
 
 
 @query
-def parquet_roundtrip(t: Testbed) -> DataFrame:
+def parquet_roundtrip(t: ClinicalTables) -> DataFrame:
     means = series.bin_mean(t.window_labs, WIDTH)
     path = new_path(t.spark, "means")
     tables.write_parquet(means, path)
@@ -203,14 +203,14 @@ def parquet_roundtrip(t: Testbed) -> DataFrame:
 
 
 @query
-def window_filter(t: Testbed) -> DataFrame:
+def window_filter(t: ClinicalTables) -> DataFrame:
     labs = t.labevents.join(t.cohort.select(*co.KEYS, "dischtime"), co.KEYS)
     timed = series.with_bins(labs).filter(F.col("hours") <= 168)
     return timed.select("labevent_id", "hadm_id", "itemid", micros("hours").alias("micros_before"))
 
 
 @query
-def time_bins(t: Testbed) -> DataFrame:
+def time_bins(t: ClinicalTables) -> DataFrame:
     labs = co.labs_in_window(t.cohort, t.labevents)
     hours = timing.hours_before(F.col("dischtime"), F.col("charttime"))
     return labs.select(
@@ -224,7 +224,7 @@ def time_bins(t: Testbed) -> DataFrame:
 
 
 @query
-def time_units(t: Testbed) -> DataFrame:
+def time_units(t: ClinicalTables) -> DataFrame:
     """On all cohort labs, so times after discharge (negative) are included."""
     labs = t.labevents.join(t.cohort.select(*co.KEYS, "dischtime"), co.KEYS).na.drop(subset=["charttime"])
     span = (F.col("charttime"), F.col("dischtime"))
@@ -238,7 +238,7 @@ def time_units(t: Testbed) -> DataFrame:
 
 
 @query
-def feature_names(t: Testbed) -> DataFrame:
+def feature_names(t: ClinicalTables) -> DataFrame:
     item, index = F.col("itemid"), F.col("bin")
     return (
         series.with_bins(t.window_labs, WIDTH)
@@ -256,62 +256,62 @@ def feature_names(t: Testbed) -> DataFrame:
 # ---- series ----------------------------------------------------------------
 
 
-def _dense(t: Testbed, width: int = WIDTH) -> DataFrame:
+def _dense(t: ClinicalTables, width: int = WIDTH) -> DataFrame:
     return series.densify(series.bin_mean(t.window_labs, width))
 
 
 @query
-def bin_mean(t: Testbed) -> DataFrame:
+def bin_mean(t: ClinicalTables) -> DataFrame:
     return series.bin_mean(t.window_labs, WIDTH).withColumn("mean", r6("mean"))
 
 
 @query
-def window_sweep(t: Testbed) -> DataFrame:
+def window_sweep(t: ClinicalTables) -> DataFrame:
     return series.sweep_bin_mean(t.window_labs).withColumn("mean", r6("mean"))
 
 
-def _filled(t: Testbed, method: str, **options: str) -> DataFrame:
+def _filled(t: ClinicalTables, method: str, **options: str) -> DataFrame:
     filled = series.fill(_dense(t), method, **options)
     return filled.select("hadm_id", "itemid", "pos", "bin", r6("filled").alias("filled"))
 
 
 @query
-def interpolate_inside(t: Testbed) -> DataFrame:
+def interpolate_inside(t: ClinicalTables) -> DataFrame:
     return _filled(t, "interpolate")
 
 
 @query
-def interpolate_time_axis(t: Testbed) -> DataFrame:
+def interpolate_time_axis(t: ClinicalTables) -> DataFrame:
     return _filled(t, "interpolate", axis="time")
 
 
 @query
-def ffill(t: Testbed) -> DataFrame:
+def ffill(t: ClinicalTables) -> DataFrame:
     return _filled(t, "ffill")
 
 
 @query
-def ffill_chronological(t: Testbed) -> DataFrame:
+def ffill_chronological(t: ClinicalTables) -> DataFrame:
     return _filled(t, "ffill", direction="chronological")
 
 
 @query
-def bfill(t: Testbed) -> DataFrame:
+def bfill(t: ClinicalTables) -> DataFrame:
     return _filled(t, "bfill")
 
 
 @query
-def fill_chain(t: Testbed) -> DataFrame:
+def fill_chain(t: ClinicalTables) -> DataFrame:
     return _filled(t, "chain")
 
 
 @query
-def zero_fill(t: Testbed) -> DataFrame:
+def zero_fill(t: ClinicalTables) -> DataFrame:
     return _filled(t, "zero")
 
 
 @query
-def ffill_median(t: Testbed) -> DataFrame:
+def ffill_median(t: ClinicalTables) -> DataFrame:
     split = sampling.holdout(t.cohort.select("hadm_id"), seed=0)
     train = split.filter("is_test = 0")
     medians = ranking.median(
@@ -325,13 +325,13 @@ def ffill_median(t: Testbed) -> DataFrame:
 
 
 @query
-def xmd_binned(t: Testbed) -> DataFrame:
+def xmd_binned(t: ClinicalTables) -> DataFrame:
     grid = xmd.xmd_binned(t.window_labs, ITEMS, WIDTH)
     return grid.withColumn("x", r6("x")).withColumn("delta", r6("delta"))
 
 
 @query
-def xmd_irregular(t: Testbed) -> DataFrame:
+def xmd_irregular(t: ClinicalTables) -> DataFrame:
     grid = xmd.xmd_irregular(t.window_labs, ITEMS)
     return grid.select(
         "stay",
@@ -345,7 +345,7 @@ def xmd_irregular(t: Testbed) -> DataFrame:
     )
 
 
-def _vmd_cells(t: Testbed, width: int) -> DataFrame:
+def _vmd_cells(t: ClinicalTables, width: int) -> DataFrame:
     filled = series.fill(_dense(t, width)).select("hadm_id", "itemid", "bin", F.col("filled").alias("v"))
     grid = xmd.xmd_binned(t.window_labs, ITEMS, width).select(
         "hadm_id", "itemid", (F.col("t") / width).cast("int").alias("bin"), "m", F.col("delta").alias("d")
@@ -353,18 +353,18 @@ def _vmd_cells(t: Testbed, width: int) -> DataFrame:
     return grid.join(filled, ["hadm_id", "itemid", "bin"], "left")
 
 
-def _feature_set(t: Testbed, kind: str) -> DataFrame:
+def _feature_set(t: ClinicalTables, kind: str) -> DataFrame:
     wide = matrix.feature_set(_vmd_cells(t, 84), kind, ITEMS, 2)
     return wide.select("hadm_id", *[(F.col(c) if c[0] == "m" else r6(c)).alias(c) for c in wide.columns[1:]])
 
 
 @query
-def feature_sets(t: Testbed) -> DataFrame:
+def feature_sets(t: ClinicalTables) -> DataFrame:
     return _feature_set(t, "VMD")
 
 
 @query
-def feature_set_md(t: Testbed) -> DataFrame:
+def feature_set_md(t: ClinicalTables) -> DataFrame:
     return _feature_set(t, "MD")
 
 
@@ -372,29 +372,29 @@ def feature_set_md(t: Testbed) -> DataFrame:
 
 
 @query
-def item_stats(t: Testbed) -> DataFrame:
+def item_stats(t: ClinicalTables) -> DataFrame:
     stats = items.item_stats(t.window_labs)
     return stats.withColumn("freq_ts", r6("freq_ts")).withColumn("num_ts", r6("num_ts"))
 
 
 @query
-def select_items(t: Testbed) -> DataFrame:
+def select_items(t: ClinicalTables) -> DataFrame:
     chosen = items.select_items(items.item_stats(t.window_labs), npoints=2, minfreq=0.75)
     return items.keep_items(t.window_labs, chosen).select("hadm_id", "itemid", "charttime", "valuenum")
 
 
 @query
-def top_items(t: Testbed) -> DataFrame:
+def top_items(t: ClinicalTables) -> DataFrame:
     return items.top_items(items.item_stats(t.window_labs), n=3).select("itemid", "count")
 
 
 @query
-def item_index(t: Testbed) -> DataFrame:
+def item_index(t: ClinicalTables) -> DataFrame:
     return items.item_index(t.labevents)
 
 
 @query
-def zscore_normalise(t: Testbed) -> DataFrame:
+def zscore_normalise(t: ClinicalTables) -> DataFrame:
     sample = items.zscore(t.window_labs).select("hadm_id", "itemid", "charttime", F.col("z").alias("z_sample"))
     whole = items.zscore(t.window_labs, population=True)
     keys = ["hadm_id", "itemid", "charttime"]
@@ -406,44 +406,44 @@ def zscore_normalise(t: Testbed) -> DataFrame:
 
 
 @query
-def label_select(t: Testbed) -> DataFrame:
+def label_select(t: ClinicalTables) -> DataFrame:
     people = t.demographics.join(t.admissions.select("hadm_id", "insurance"), "hadm_id")
     kinds = ("target", "gender", "anchor_age", "race", "insurance")
     return people.select("hadm_id", *[items.label_column(k).alias(f"{k}_label") for k in kinds])
 
 
 @query
-def race_encode(t: Testbed) -> DataFrame:
+def race_encode(t: ClinicalTables) -> DataFrame:
     grouped = t.admissions.select("hadm_id", "race", codes.race_group(F.col("race")).alias("race_group"))
     return items.encode_labels(grouped, "race_group", "race_code")
 
 
 @query
-def label_align(t: Testbed) -> DataFrame:
+def label_align(t: ClinicalTables) -> DataFrame:
     index = series.bin_mean(t.window_labs, WIDTH).select("hadm_id").distinct()
     return matrix.join_label(index, t.demographics.select("hadm_id", "subject_id", "target"))
 
 
 @query
-def pivot_wide(t: Testbed) -> DataFrame:
+def pivot_wide(t: ClinicalTables) -> DataFrame:
     wide = matrix.pivot_features(series.fill(_dense(t)), ITEMS, LAST_BIN)
     return wide.select("hadm_id", *[r6(f"`{c}`").alias(c) for c in wide.columns[1:]])
 
 
-def flagship(t: Testbed) -> DataFrame:
+def flagship(t: ClinicalTables) -> DataFrame:
     """Feature matrix with its label."""
     return matrix.join_label(pivot_wide(t), t.cohort.select("hadm_id", "subject_id", "target"))
 
 
 @query
-def pivot_last_n(t: Testbed) -> DataFrame:
+def pivot_last_n(t: ClinicalTables) -> DataFrame:
     rows = matrix.last_n_features(co.labs_in_window(t.cohort, t.labevents))
     wide = matrix.pivot_numeric(rows, matrix.last_n_columns(ITEMS))
     return wide.select("hadm_id", *[r6(c).alias(c) for c in wide.columns[1:]])
 
 
 @query
-def pivot_measured(t: Testbed) -> DataFrame:
+def pivot_measured(t: ClinicalTables) -> DataFrame:
     rows = matrix.last_n_features(co.labs_in_window(t.cohort, t.labevents))
     wide = matrix.pivot_measured(rows, matrix.last_n_columns(ITEMS))
     return matrix.join_label(wide, t.cohort.select("hadm_id", "target"))
@@ -455,7 +455,7 @@ KNN_WIDTH, KNN_LAST_BIN = 84, 2
 
 
 @query
-def knn_impute(t: Testbed) -> DataFrame:
+def knn_impute(t: ClinicalTables) -> DataFrame:
     means = series.bin_mean(t.window_labs, KNN_WIDTH)
     vectors = matrix.vector_features(means, ITEMS, KNN_LAST_BIN, value="mean")
     split = cut_lineage(sampling.holdout(vectors, seed=0))
@@ -465,7 +465,7 @@ def knn_impute(t: Testbed) -> DataFrame:
 
 
 @query
-def imputation_score(t: Testbed) -> DataFrame:
+def imputation_score(t: ClinicalTables) -> DataFrame:
     dense = _dense(t)
     parts = [impute.imputation_score(dense, 0.2, mode=m) for m in ("overlay", "augmentation")]
     both = reduce(DataFrame.unionByName, parts)
@@ -473,37 +473,37 @@ def imputation_score(t: Testbed) -> DataFrame:
 
 
 @query
-def holdout_split(t: Testbed) -> DataFrame:
+def holdout_split(t: ClinicalTables) -> DataFrame:
     return sampling.holdout(t.cohort.select("hadm_id", "subject_id", "target"), seed=0)
 
 
-def _labels(t: Testbed) -> DataFrame:
+def _labels(t: ClinicalTables) -> DataFrame:
     return t.cohort.select("hadm_id", "subject_id", "target")
 
 
 @query
-def group_kfold(t: Testbed) -> DataFrame:
+def group_kfold(t: ClinicalTables) -> DataFrame:
     return sampling.group_folds(_labels(t)).select("hadm_id", "subject_id", "target", "fold")
 
 
 @query
-def fold_balance(t: Testbed) -> DataFrame:
+def fold_balance(t: ClinicalTables) -> DataFrame:
     balance = sampling.fold_balance(sampling.group_folds(_labels(t)))
     return balance.withColumn("positive_rate", r6("positive_rate"))
 
 
 @query
-def oversample_minority(t: Testbed) -> DataFrame:
+def oversample_minority(t: ClinicalTables) -> DataFrame:
     return sampling.oversample(_labels(t))
 
 
 @query
-def undersample_majority(t: Testbed) -> DataFrame:
+def undersample_majority(t: ClinicalTables) -> DataFrame:
     return sampling.undersample(_labels(t))
 
 
 @query
-def class_weights(t: Testbed) -> DataFrame:
+def class_weights(t: ClinicalTables) -> DataFrame:
     weighted = sampling.class_weights(_labels(t), mode=None, name="w_none")
     weighted = sampling.class_weights(weighted, mode="balanced", name="w_balanced")
     weighted = sampling.class_weights(weighted, mode={0: 0.5, 1: 2}, name="w_given")
@@ -513,43 +513,43 @@ def class_weights(t: Testbed) -> DataFrame:
 # ---- metrics on a formula score --------------------------------------------
 
 
-def _scored(t: Testbed) -> DataFrame:
+def _scored(t: ClinicalTables) -> DataFrame:
     rows = co.labs_in_window(t.cohort, t.labevents).groupBy("hadm_id").agg(F.count(F.lit(1)).alias("n"))
     score = F.round(F.least(F.coalesce("n", F.lit(0)) / 20, F.lit(1.0)), 3)
     return _labels(t).join(rows, "hadm_id", "left").select("hadm_id", "target", score.alias("score"))
 
 
 @query
-def confusion_metrics(t: Testbed) -> DataFrame:
+def confusion_metrics(t: ClinicalTables) -> DataFrame:
     found = metrics.confusion(_scored(t))
     ratios = ("recall", "precision", "f1", "balanced_accuracy", "accuracy")
     return found.select("tp", "fp", "fn", "tn", *[r6(c).alias(c) for c in ratios])
 
 
 @query
-def roc_auc(t: Testbed) -> DataFrame:
+def roc_auc(t: ClinicalTables) -> DataFrame:
     return metrics.roc_auc(_scored(t)).select(r6("roc_auc").alias("roc_auc"))
 
 
 @query
-def pr_auc(t: Testbed) -> DataFrame:
+def pr_auc(t: ClinicalTables) -> DataFrame:
     return metrics.pr_auc(_scored(t)).select(r6("pr_auc").alias("pr_auc"))
 
 
 @query
-def pr_curve(t: Testbed) -> DataFrame:
+def pr_curve(t: ClinicalTables) -> DataFrame:
     points = metrics.pr_points(_scored(t))
     return points.select("threshold", r6("precision").alias("precision"), r6("recall").alias("recall"))
 
 
 @query
-def calibration_table(t: Testbed) -> DataFrame:
+def calibration_table(t: ClinicalTables) -> DataFrame:
     table = metrics.calibration(_scored(t))
     return table.select("score_bin", "n", *[r6(c).alias(c) for c in ("mean_score", "observed_rate", "brier")])
 
 
 @query
-def conformal_sets(t: Testbed) -> DataFrame:
+def conformal_sets(t: ClinicalTables) -> DataFrame:
     half = hashing.unit_interval(hashing.digest("hadm_id", seed="calibrate")) < 0.5
     return metrics.conformal_sets(_scored(t), half)
 
@@ -558,7 +558,7 @@ def conformal_sets(t: Testbed) -> DataFrame:
 
 
 @query
-def dq_primary_key(t: Testbed) -> DataFrame:
+def dq_primary_key(t: ClinicalTables) -> DataFrame:
     checks = [
         (t.table("orders"), ["o_orderkey"], "orders"),
         (t.table("lineitem"), ["l_orderkey"], "lineitem"),
@@ -572,7 +572,7 @@ def dq_primary_key(t: Testbed) -> DataFrame:
 
 
 @query
-def dq_foreign_key(t: Testbed) -> DataFrame:
+def dq_foreign_key(t: ClinicalTables) -> DataFrame:
     checks = [
         (t.table("orders"), "o_custkey", t.table("customer"), "c_custkey", "orders_customer"),
         (t.table("lineitem"), "l_orderkey", t.table("orders"), "o_orderkey", "lineitem_orders"),
@@ -583,7 +583,7 @@ def dq_foreign_key(t: Testbed) -> DataFrame:
 
 
 @query
-def dq_not_null(t: Testbed) -> DataFrame:
+def dq_not_null(t: ClinicalTables) -> DataFrame:
     lineitem = t.table("lineitem")
     parts = [
         quality.not_null_check(lineitem, lineitem.columns, "lineitem"),
@@ -594,7 +594,7 @@ def dq_not_null(t: Testbed) -> DataFrame:
 
 
 @query
-def dq_invalid_ids(t: Testbed) -> DataFrame:
+def dq_invalid_ids(t: ClinicalTables) -> DataFrame:
     return quality.invalid_id_report(t.extracted_list)
 
 
@@ -602,7 +602,7 @@ def dq_invalid_ids(t: Testbed) -> DataFrame:
 
 
 @query
-def missingness_features(t: Testbed) -> DataFrame:
+def missingness_features(t: ClinicalTables) -> DataFrame:
     found = insight.missingness_features(t.window_labs, ITEMS, WIDTH, LAST_BIN + 1)
     return found.select(
         "hadm_id",
@@ -616,7 +616,7 @@ def missingness_features(t: Testbed) -> DataFrame:
 
 
 @query
-def missingness_by_group(t: Testbed) -> DataFrame:
+def missingness_by_group(t: ClinicalTables) -> DataFrame:
     people = t.demographics.select(
         "hadm_id",
         "gender",
@@ -631,12 +631,12 @@ def missingness_by_group(t: Testbed) -> DataFrame:
 
 
 @query
-def item_cooccurrence(t: Testbed) -> DataFrame:
+def item_cooccurrence(t: ClinicalTables) -> DataFrame:
     return insight.cooccurrence(t.window_labs, ITEMS, WIDTH).withColumn("lift", r6("lift"))
 
 
 @query
-def missingness_target_assoc(t: Testbed) -> DataFrame:
+def missingness_target_assoc(t: ClinicalTables) -> DataFrame:
     found = insight.target_association(t.cohort, t.window_labs, ITEMS)
     return found.select(
         "itemid",
@@ -653,7 +653,7 @@ def missingness_target_assoc(t: Testbed) -> DataFrame:
 COLUMNS = matrix.feature_columns(ITEMS, 7)
 
 
-def _frame(t: Testbed) -> DataFrame:
+def _frame(t: ClinicalTables) -> DataFrame:
     vectors = matrix.vector_features(series.fill(_dense(t, 24)), ITEMS, 7)
     return models.training_frame(vectors, _labels(t), k=FOLDS)
 
@@ -663,13 +663,13 @@ def _forest(_: int) -> models.Estimator:
 
 
 @query
-def rf_cv(t: Testbed) -> DataFrame:
+def rf_cv(t: ClinicalTables) -> DataFrame:
     scores = models.cross_validate(_frame(t), COLUMNS, _forest, k=FOLDS)
     return models.fold_metrics(scores)
 
 
 @query
-def cv_summary(t: Testbed) -> DataFrame:
+def cv_summary(t: ClinicalTables) -> DataFrame:
     scores = models.cross_validate(
         _frame(t), COLUMNS, _forest, k=FOLDS, weights={0: 1, 1: 2}, masks=True
     )
@@ -677,36 +677,36 @@ def cv_summary(t: Testbed) -> DataFrame:
 
 
 @query
-def experiment_gender(t: Testbed) -> DataFrame:
+def experiment_gender(t: ClinicalTables) -> DataFrame:
     """Whole pipeline with another label and the missingness features alone."""
     config = ExperimentConfig(label="gender", feature_set="MD", bin_hours=24, model="gbt", folds=2)
     return run_experiment(co.extract_labs(t.demographics, t.labevents), config, ITEMS)
 
 
 @query
-def rf_grid(t: Testbed) -> DataFrame:
+def rf_grid(t: ClinicalTables) -> DataFrame:
     grid = {"n_estimators": (10,), "max_depth": (2, 5), "class_weight": (None, {0: 0.5, 1: 2})}
     return models.grid_search(_frame(t), COLUMNS, grid, k=FOLDS, inner=2)
 
 
 @query
-def rf_importance(t: Testbed) -> DataFrame:
+def rf_importance(t: ClinicalTables) -> DataFrame:
     return models.impurity_importance(_frame(t), COLUMNS, _forest, k=FOLDS)
 
 
 @query
-def permutation_importance(t: Testbed) -> DataFrame:
+def permutation_importance(t: ClinicalTables) -> DataFrame:
     return models.permutation_importance(_frame(t), COLUMNS, _forest, k=FOLDS, repeats=2)
 
 
 @query
-def logreg_cv(t: Testbed) -> DataFrame:
+def logreg_cv(t: ClinicalTables) -> DataFrame:
     scores = models.cross_validate(_frame(t), COLUMNS, models.logistic_regression, k=FOLDS)
     return models.fold_metrics(scores)
 
 
 @query
-def gbt_cv(t: Testbed) -> DataFrame:
+def gbt_cv(t: ClinicalTables) -> DataFrame:
     scores = models.cross_validate(
         _frame(t), COLUMNS, lambda _: models.boosted_trees(5, 3), k=FOLDS
     )
@@ -714,7 +714,7 @@ def gbt_cv(t: Testbed) -> DataFrame:
 
 
 @query
-def mlp_cv(t: Testbed) -> DataFrame:
+def mlp_cv(t: ClinicalTables) -> DataFrame:
     scores = models.cross_validate(
         _frame(t), COLUMNS, lambda _: models.perceptron(len(COLUMNS), max_iter=30), k=FOLDS
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lacuna.operators import cohort as co
+from lacuna.session import tune
 
 # Fixed values of the fixture definition.
 ITEM_CODES = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
@@ -30,11 +31,11 @@ RACES = (
 )
 
 
-class Testbed:
+class ClinicalTables:
     """Frames of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = tune(spark)
         self.folder = folder.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
 

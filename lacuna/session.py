@@ -7,10 +7,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SESSION_DEFAULTS = {
+# Without the last setting Spark keeps a skewed join whole whenever the aggregate
+# after it could reuse the join's partitioning, e.g. duplicates resolved per
+# (subject, admission, item, time) after a join on (subject, admission).  One
+# admission with a third of the rows would then be joined and aggregated in one task.
+SKEW_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+SESSION_DEFAULTS = SKEW_SETTINGS | {
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -25,6 +32,13 @@ def get_session(app_name: str = "lacuna", **overrides: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the skew settings to a session made elsewhere."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
