@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.operators.ranking import order_statistic, with_running_totals
+from lacuna.session import cut_lineage
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -44,12 +45,12 @@ def confusion(
 
 def _by_score(df: DataFrame, label: str, score: str, within: Sequence[str]) -> DataFrame:
     """Per distinct score: positives and negatives, their running totals and the
-    group totals."""
+    group totals.  The counts are stored, so the scored rows are read once."""
     actual = F.col(label)
     counted = df.groupBy(*within, score).agg(
         F.count_if(actual == 1).alias("pos"), F.count_if(actual == 0).alias("neg")
     )
-    return with_running_totals(counted, score, ["pos", "neg"], within)
+    return with_running_totals(cut_lineage(counted), score, ["pos", "neg"], within)
 
 
 def roc_auc(

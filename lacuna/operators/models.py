@@ -134,7 +134,9 @@ def training_frame(
 ) -> DataFrame:
     """Feature rows (``values`` array) with subject, label and fold, written once
     for all fits."""
-    labelled = features.join(labels.select("hadm_id", "subject_id", "target"), "hadm_id")
+    labelled = cut_lineage(
+        features.join(labels.select("hadm_id", "subject_id", "target"), "hadm_id")
+    )
     folded = sampling.group_folds(labelled, k=k, seed=seed)
     return cut_lineage(folded.withColumn(LABEL, F.col("target").cast("double")))
 

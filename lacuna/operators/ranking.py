@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lacuna.session import cut_lineage
+
 BEFORE = (W.unboundedPreceding, -1)
 CELLS = 4096
 
@@ -29,7 +31,8 @@ def with_row_number(
 
     ``order`` holds text with evenly spread leading characters, such as a hex
     digest, and is unique within a group.  The first ``prefix`` characters are
-    the cell: 16**prefix cells per group.
+    the cell: 16**prefix cells per group.  ``df`` is read twice (cell totals, rows):
+    pass a stored table where it is costly to compute.
     """
     cell = F.substring(order, 1, prefix)
     rows = df.withColumn("_cell", cell)
@@ -56,6 +59,8 @@ def with_running_totals(
     offset windows see at most 4096 rows each and the row windows work on slices of
     1/16.7 million of the value range.  The offsets reach the rows by a join on the
     cell, which is also how the row windows are partitioned.
+
+    ``df`` is read three times (range, cell totals, rows): pass a stored table.
     """
     if not within:
         keyed = with_running_totals(df.withColumn("_all", F.lit(0)), order, sums, ["_all"])
@@ -100,10 +105,9 @@ def with_running_totals(
 
 def _counted(df: DataFrame, value: str, within: Sequence[str]) -> DataFrame:
     """Distinct values with their running count ``cum_w`` and group size ``tot_w``."""
-    counted = (
-        df.filter(F.col(value).isNotNull()).groupBy(*within, value).agg(F.count(F.lit(1)).alias("w"))
-    )
-    return with_running_totals(counted, value, ["w"], within)
+    known = df.filter(F.col(value).isNotNull())
+    counted = known.groupBy(*within, value).agg(F.count(F.lit(1)).alias("w"))
+    return with_running_totals(cut_lineage(counted), value, ["w"], within)
 
 
 def order_statistic(

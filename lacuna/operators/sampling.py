@@ -1,4 +1,8 @@
-"""Splits, resampling and class weights, reproducible from the row keys."""
+"""Splits, resampling and class weights, reproducible from the row keys.
+
+These functions read their input more than once (class sizes, numbering, rows):
+pass a stored table, or ``session.cut_lineage(df)`` when it is costly to compute.
+"""
 
 from __future__ import annotations
 

@@ -457,7 +457,7 @@ KNN_WIDTH, KNN_LAST_BIN = 84, 2
 @query
 def knn_impute(t: ClinicalTables) -> DataFrame:
     means = series.bin_mean(t.window_labs, KNN_WIDTH)
-    vectors = matrix.vector_features(means, ITEMS, KNN_LAST_BIN, value="mean")
+    vectors = cut_lineage(matrix.vector_features(means, ITEMS, KNN_LAST_BIN, value="mean"))
     split = cut_lineage(sampling.holdout(vectors, seed=0))
     filled = impute.knn_impute(split, split.filter("is_test = 0"))
     names = matrix.feature_columns(ITEMS, KNN_LAST_BIN)
