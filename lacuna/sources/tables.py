@@ -65,8 +65,7 @@ def write_parquet(
 
 def read_window_file(spark: SparkSession, folder: str, days: int) -> DataFrame:
     """The extract of one window size, found by its name ``*_<days>_days_prior.parquet``."""
-    found = spark.read.parquet(f"{folder.rstrip('/')}/*_{days}_days_prior.parquet")
-    return found
+    return spark.read.parquet(f"{folder.rstrip('/')}/*_{days}_days_prior.parquet")
 
 
 def window_days(name: str) -> int:
