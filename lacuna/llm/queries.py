@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontam, labelled, linededup, minhash, quality
+from lacuna.llm import bpe, decontam, labelled, linededup, minhash, quality, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -37,6 +37,18 @@ def scored(docs: DataFrame, divisor: int, kept_out: int, *more: str) -> DataFram
     )
 
 
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    weights = toxicity.train(docs, labels, labelled.remainder("doc_id", 4) != 2)
+    return scored(toxicity.score(docs.select("doc_id", "text"), weights), 4, 2, "sentences")
+
+
+@query
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = linededup.dedupe_lines(table(spark, folder, "documents"))
