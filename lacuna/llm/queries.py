@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontam, labelled, linededup, minhash, quality, topk, toxicity
+from lacuna.llm import bpe, decontam, labelled, linededup, minhash, pii, quality, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -55,6 +55,26 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
 
 
+@query
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    kinds = F.array(*map(F.lit, pii.KINDS))
+
+    def listed(spans: Column) -> Column:
+        ordered = F.array_sort(spans)
+        return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", kinds[s["kind"]], s["start"], s["end"])), ",")
+
+    counts = [
+        F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        for k, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(F.col("base_spans")), 256).alias("base_sha256"),
+        listed(F.concat("base_spans", "added_spans")).alias("spans"),
+    )
+
+
 @query
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.find_copies(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
