@@ -11,10 +11,11 @@ then only its lowest ``BITS`` bits are kept, packed into 64-bit words.
 3. Each candidate is compared with the first class of each of its buckets by counting
    equal packed values; agreement by chance, ``2**-BITS``, is taken out of the
    estimate.  The best of these links is checked on the full sets.
-4. Links found so far are contracted to components.  Buckets that still hold several
-   components are joined with themselves across components, again filtered by the
-   estimate, and what remains is checked on the full sets.  A bucket of thousands of
-   near copies is thus one component by then and makes no pairs.
+4. Links found so far are contracted to trees; most buckets are within one tree then.
+   Buckets that still hold several are gathered to clusters, and the members of a
+   cluster are packed into blocks.  A pair of blocks is one row: the task compares all
+   its members of different trees, first by the estimate, then on the full sets, and
+   gives out a spanning forest of the links, never the pairs.
 
 A pair at the similarity of the threshold 0.85 shares a band with probability
 1 - (1 - 0.85**4)**24 = 1 - 2e-8; the estimate must only reach the threshold less
@@ -40,6 +41,7 @@ BANDS, ROWS, BITS = 24, 4, 4
 KEPT = BANDS * ROWS * BITS // 64  # packed 64-bit words
 SLACK = 0.22
 _AT_ONCE = 4096
+BLOCK_ROWS, BLOCK_SHINGLES = 96, 1 << 16
 
 _rng = np.random.default_rng(20240501)
 _MULTIPLY = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -158,6 +160,117 @@ def _verified(pairs: DataFrame, docs_of: DataFrame, percent: int) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").where(100 * both >= percent * union).select("a", "b")
 
 
+def _roots(parents: DataFrame) -> DataFrame:
+    """``id, tree``: the root above each ``a`` of links to one smaller ``b`` each."""
+    tree = parents.toDF("id", "tree")
+    while True:
+        up = tree.toDF("tree", "above")
+        tree = cut_lineage(
+            tree.join(up, "tree", "left").select("id", F.coalesce("above", "tree").alias("tree"), F.col("above").isNotNull().alias("moved"))
+        )
+        if not tree.where("moved").head(1):
+            return tree.select("id", "tree")
+        tree = tree.select("id", "tree")
+
+
+def _unequal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Packed values that differ between every row of ``a`` and every row of ``b``."""
+    ones = np.uint64(sum(1 << k for k in range(0, 64, BITS)))
+    out = np.zeros((len(a), len(b)), np.int32)
+    for k in range(KEPT):
+        bits = a[:, None, k] ^ b[None, :, k]
+        folded = bits.copy()
+        for shift in range(1, BITS):
+            folded |= bits >> np.uint64(shift)
+        out += np.bitwise_count(folded & ones)
+    return out
+
+
+def _shared(a: list[np.ndarray], b: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of every set of ``a`` with every set of ``b``."""
+    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    out = np.zeros((len(a), len(b)), np.float32)
+    places = []
+    for sets in (a, b):
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        flat = np.concatenate(sets)
+        at = np.searchsorted(both, flat)
+        hit = at < len(both)
+        hit[hit] = both[at[hit]] == flat[hit]
+        places.append((owner[hit], at[hit]))
+    for lo in range(0, len(both), columns):
+        tables = []
+        for (owner, at), n in zip(places, out.shape):
+            own = (at >= lo) & (at < lo + columns)
+            table = np.zeros((n, min(columns, len(both) - lo)), np.float32)
+            table[owner[own], at[own] - lo] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out
+
+
+def _block_links(rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` that connect the members of each cluster as all links would.
+
+    ``rows``: ``id, tree, cluster, n, packed, shingles``.  Blocks hold about
+    ``BLOCK_ROWS`` members or ``BLOCK_SHINGLES`` shingles, whichever is reached first.
+    """
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    blocks = F.ceil(F.greatest(F.col("c") / BLOCK_ROWS, F.col("s") / BLOCK_SHINGLES))
+    number = F.pmod(F.xxhash64("id", F.lit(11)), "blocks").cast("int")
+    sizes = cut_lineage(sizes.select("cluster", blocks.alias("blocks")))
+    packed = (
+        rows.join(sizes, "cluster").groupBy("cluster", number.alias("block"))
+        .agg(F.collect_list(F.struct("id", "tree", "n", "packed", "shingles")).alias("docs"))
+    )
+    packed = cut_lineage(packed)
+    left, right = packed.toDF("cluster", "i", "left"), packed.toDF("cluster", "j", "right")
+    least = percent / 100 - SLACK
+    chance = 2.0**-BITS
+
+    def columns(docs: pa.StructScalar) -> tuple:
+        table = docs.values
+        ids, tree, n = (table.field(c).to_numpy() for c in ("id", "tree", "n"))
+        own = table.field("packed")
+        words = own.flatten().to_numpy().view(np.uint64).reshape(len(ids), KEPT)
+        sets = [x.values.to_numpy() for x in table.field("shingles")]
+        return ids, tree, n, words, sets
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for docs_a, docs_b in zip(batch.column("left"), batch.column("right")):
+                (id_a, tree_a, n_a, words_a, sets_a), (id_b, tree_b, n_b, words_b, sets_b) = columns(docs_a), columns(docs_b)
+                agree = 1 - _unequal(words_a, words_b) / (BANDS * ROWS)
+                close = ((agree - chance) / (1 - chance) >= least) & (tree_a[:, None] != tree_b[None, :])
+                if not close.any():
+                    continue
+                keep_a, keep_b = np.flatnonzero(close.any(axis=1)), np.flatnonzero(close.any(axis=0))
+                both = _shared([sets_a[k] for k in keep_a], [sets_b[k] for k in keep_b])
+                union = n_a[keep_a][:, None] + n_b[keep_b][None, :] - both
+                linked = close[np.ix_(keep_a, keep_b)] & (100 * both >= percent * union)
+                above: dict[int, int] = {}
+
+                def root(x: int) -> int:
+                    while above.get(x, x) != x:
+                        above[x] = above.get(above[x], above[x])
+                        x = above[x]
+                    return x
+
+                for x, y in zip(*np.nonzero(linked)):
+                    a, b = int(id_a[keep_a[x]]), int(id_b[keep_b[y]])
+                    up, down = root(int(tree_a[keep_a[x]])), root(int(tree_b[keep_b[y]]))
+                    if up != down:
+                        above[max(up, down)] = min(up, down)
+                        found.append((a, b))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"]
+            )
+
+    pairs = left.join(right, "cluster").where("i <= j").select("left", "right")
+    return pairs.mapInArrow(work, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", row_id: str = "doc_id", percent: int = 85) -> DataFrame:
     """``id, n_shingles, component_id, kept`` of every row of ``docs``.
 
@@ -204,24 +317,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
     sets = sets.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "shingles"])
     sets = cut_lineage(sets)
     links = cut_lineage(_verified(cut_lineage(stars), sets, percent))
-    first = cut_lineage(components(links))
+    first = _roots(links)
 
     placed = cut_lineage(
-        members.join(first, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+        members.join(first, "id", "left").select("key", "id", F.coalesce("tree", "id").alias("tree"))
     )
     mixed = cut_lineage(
-        placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        .where("lo <> hi").select("key")
-    )
-    open_members = cut_lineage(placed.join(mixed, "key", "left_semi").join(packed, "id"))
-    left = open_members.toDF("a", "key", "comp_a", "n_a", "packed_a")
-    right = open_members.toDF("b", "key", "comp_b", "n_b", "packed_b")
-    across = (
-        left.join(right, "key").where("comp_a < comp_b")
-        .where(may_match("n_a", "n_b", "packed_a", "packed_b")).select("a", "b").distinct()
+        placed.groupBy("key").agg(F.min("tree").alias("lo"), F.max("tree").alias("hi"), F.min("id").alias("low"))
+        .where("lo <> hi").select("key", "low")
     )
-    more = _verified(cut_lineage(across), sets, percent)
-    final = components(links.union(more))
+    unsettled = cut_lineage(placed.join(mixed, "key").select("id", "low", "tree").distinct())
+    clusters = cut_lineage(components(unsettled.select("id", "low")))
+    rows_of = unsettled.select("id", "tree").distinct().join(clusters, "id").join(packed, "id").join(sets, "id")
+    more = _block_links(cut_lineage(rows_of.withColumnRenamed("component", "cluster")), percent)
+    final = components(cut_lineage(links.union(more)))
 
     named = classes.join(final, "id", "left").select(
         "digest", "members", "id", F.coalesce("component", "id").alias("component_id")

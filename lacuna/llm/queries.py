@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontam, labelled, linededup, minhash, pii, quality, topk, toxicity
+from lacuna.llm import bpe, decontam, labelled, linededup, minhash, pii, quality, secretscan, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -81,6 +81,15 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("body")
 
 
+@query
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secretscan.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "word_index", F.length("value").cast("long").alias("length"), F.sha2("value", 256).alias("value_sha256"),
+        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
