@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontam, labelled, linededup, minhash, pii, quality, secretscan, topk, toxicity
+from lacuna.llm import bpe, decontam, labelled, linededup, minhash, pii, quality, secretscan, substrings, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -75,6 +75,11 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeated_passages(table(spark, folder, "documents"))
+
+
 @query
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.find_copies(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
