@@ -10,7 +10,7 @@ next shorter prefix token, and steps back if none is left.  A position from whic
 encoding continues is marked, so each is tried once: the work is linear in the piece
 for a vocabulary with bounded token length, and the result is the one exact merging
 gives.  The ids of short stretches between spaces are
-memoised per task in a table of at most ``MEMO_STRETCHES`` entries.
+memoised per Python process in two generations of ``MEMO_STRETCHES`` entries.
 
 Null text counts as empty and gives an empty array.  Every other column is kept.
 """
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MEMO_STRETCHES = 300_000
+from lacuna.llm import textwork as tw
+
+MEMO_STRETCHES = 250_000
 MEMO_CHARS = 48
 _SPACES = re.compile(r"\s\x20|\x20\s")
 
@@ -51,7 +54,7 @@ class Encoder:
         self.merged: dict[tuple[int, int], int] = {}
         self.compatible: dict[tuple[int, int], bool] = {}
         self.shorter: dict[int, int] = {}
-        self.size: dict[int, int] = {}
+        self.size = [0] * (max(ranks.values(), default=0) + 1)
         self.automaton = ahocorasick.Automaton()
         for token, rank in sorted(ranks.items(), key=lambda item: item[1]):
             halves = self._halves(token, rank)
@@ -61,7 +64,7 @@ class Encoder:
             if len(token) > 1:
                 self.merged[halves] = rank
             self.size[rank] = len(token)
-            self.automaton.add_word(token.decode("latin-1"), rank)
+            self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, rank))
         self.automaton.make_automaton()
         for rank in self.split:
             token = self.bytes_of[rank]
@@ -123,12 +126,11 @@ class Encoder:
             return [whole]
         n = len(piece)
         longest = [-1] * n
-        best = [0] * n
         size = self.size
-        for end, token in self.automaton.iter(piece.decode("latin-1")):
-            length = size[token]
-            if length > best[end + 1 - length]:
-                best[end + 1 - length], longest[end + 1 - length] = length, token
+        # matches come by their ends, so the last one from a start is its longest
+        for end, (length, token) in self.automaton.iter(piece.decode("latin-1")):
+            longest[end - length] = token
+        known = self.compatible
         open_at = bytearray(b"\x01") * (n + 1)
         ids: list[int] = []
         at = 0
@@ -137,7 +139,7 @@ class Encoder:
             last = ids[-1] if ids else -1
             while True:
                 end = at + size[token]
-                if open_at[end] and (last < 0 or self._pair(last, token)):
+                if open_at[end] and (last < 0 or known.get((last, token)) or self._pair(last, token)):
                     ids.append(token)
                     at = end
                     token = longest[at] if at < n else -1
@@ -159,23 +161,38 @@ def encoder(path: str) -> Encoder:
 
 
 class _Memo(dict):
-    """Packed ids of stretches met before; emptied when full.
+    """Packed ids of stretches met before.
 
-    ``lead`` is put before each key: a stretch is what follows one space.
+    ``lead`` is put before each key: a stretch is what follows one space.  When it is
+    full it becomes the older generation and starts anew; a key still in use comes back
+    from there.
     """
 
     def __init__(self, own: Encoder, cut, lead: str):
         super().__init__()
         self.own, self.cut, self.lead = own, cut, lead
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, stretch: str) -> bytes:
-        pieces = self.cut.findall(self.lead + stretch)
-        ids = np.array([i for p in pieces for i in self.own.piece(p.encode())], np.int32).tobytes()
+        packed = self.older.get(stretch)
+        if packed is None:
+            ids = array("i")
+            for piece in self.cut.findall(self.lead + stretch):
+                ids.extend(self.own.piece(piece.encode()))
+            packed = ids.tobytes()
         if len(stretch) <= MEMO_CHARS:
             if len(self) >= MEMO_STRETCHES:
+                self.older = dict(self)
                 self.clear()
-            self[stretch] = ids
-        return ids
+            self[stretch] = packed
+        return packed
+
+
+@lru_cache(maxsize=2)
+def _memos(path: str, pattern: str) -> tuple[_Memo, _Memo]:
+    """Memos of a Python process: after a space, and at the beginning of a text."""
+    cut = regex.compile(pattern)
+    return _Memo(encoder(path), cut, " "), _Memo(encoder(path), cut, "")
 
 
 def _encoded(value: str, memo: _Memo, first: _Memo) -> bytes:
@@ -185,7 +202,7 @@ def _encoded(value: str, memo: _Memo, first: _Memo) -> bytes:
     be cut before any space whose neighbours are no white space.
     """
     if _SPACES.search(value):
-        return b"".join([np.array(memo.own.piece(m[0].encode()), np.int32).tobytes() for m in memo.cut.finditer(value)])
+        return b"".join([array("i", memo.own.piece(m[0].encode())).tobytes() for m in memo.cut.finditer(value)])
     stretches = value.split(" ")
     return first[stretches[0]] + b"".join(map(memo.__getitem__, stretches[1:]))
 
@@ -196,12 +213,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", into: s
     ``pattern`` cuts a text into pieces; a space may only begin a match or stand
     within white space, as in the public byte-level vocabularies.
     """
+    tw.prepare(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name != into]
     schema = T.StructType([*kept, T.StructField(into, T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = regex.compile(pattern)
-        memo, first = _Memo(encoder(path), cut, " "), _Memo(encoder(path), cut, "")
+        memo, first = _memos(path, pattern)
         for batch in batches:
             packed = [_encoded(v, memo, first) if v else b"" for v in batch.column(text).to_pylist()]
             ends = np.cumsum([0, *map(len, packed)]) // 4
@@ -218,6 +235,7 @@ def decode(docs: DataFrame, path: str, tokens: str = "tokens", into: str = "deco
 
     A null array gives empty bytes; an id outside the vocabulary is an error.
     """
+    tw.prepare(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name != into]
     schema = T.StructType([*kept, T.StructField(into, T.BinaryType(), False)])
 

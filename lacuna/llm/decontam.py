@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lacuna.llm import textwork as tw
-from lacuna.session import cut_lineage, tune
+from lacuna.session import cut_lineage
 
 SEED = 3
 THRESHOLD = 0.5
@@ -201,7 +201,7 @@ def find_copies(
     tells rows that repeat an id apart; equal rows give one result.  Rows without id
     and null texts take no part.
     """
-    tune(docs.sparkSession)
+    tw.prepare(docs.sparkSession)
     rows = docs.select(F.col(row_id).cast("long").alias("id"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
     rows = rows.where("id is not null and text is not null")
     known = cut_lineage(_item_words(items, item_text, item_id))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lacuna.llm import textwork as tw
-from lacuna.session import cut_lineage, tune
+from lacuna.session import cut_lineage
 
 RUN = 2
 _ONE_RUN = "first_line int, last_line int, source_id long, source_line int"
@@ -146,7 +146,7 @@ def dedupe_lines(docs: DataFrame, text: str = "text", row_id: str = "doc_id", ru
     first); columns of ``docs`` with these names are replaced.  Null text stays null;
     rows without id or text are unchanged and count no deleted line.
     """
-    tune(docs.sparkSession)
+    tw.prepare(docs.sparkSession)
     if run < 1:
         raise ValueError("run must be at least 1")
     matches = repeated_windows(docs, text, row_id, run)

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lacuna.llm import textwork as tw
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS, SAMPLE_RUNS, LONGEST_RUN = 4000, 6000, 64
 SLOT_BITS = 14
@@ -301,6 +303,7 @@ def find(docs: DataFrame, field: Field, text: str = "text", base: str = "base_sp
     """``docs`` with base and added spans as arrays of (kind, start, end); ``kind``
     indexes ``KINDS``.  Null text counts as empty.  Columns of these names are replaced.
     """
+    tw.prepare(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name not in (base, added)]
     kind = T.ArrayType(T.StructType.fromDDL("kind int, start int, end int"))
     arrow = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))

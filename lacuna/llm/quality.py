@@ -168,6 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "q
 
 def score(docs: DataFrame, net: Network, text: str = "text", into: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1 in the column ``into``."""
+    tw.prepare(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name != into]
     schema = T.StructType([*kept, T.StructField(into, T.DoubleType(), False)])
 

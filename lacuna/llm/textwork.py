@@ -15,7 +15,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
+from lacuna.session import tune
+
+# what one Arrow batch brings into a task's Python process
+BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 SLICE_BYTES = 1 << 20
 U64 = np.uint64
 _MASK = (1 << 64) - 1
@@ -35,6 +43,13 @@ NEWLINE = np.zeros(256, bool)
 NEWLINE[0x0A] = True
 
 
+def prepare(spark: SparkSession) -> None:
+    """Skew settings of the library, and Arrow batches that keep tasks small."""
+    tune(spark)
+    for key, value in BATCH_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective finaliser that spreads every input bit over the output."""
     x = x ^ (x >> U64(30))

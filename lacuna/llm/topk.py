@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lacuna.session import cut_lineage, tune
+from lacuna.llm import textwork as tw
+from lacuna.session import cut_lineage
 
 SHARD_ROWS, QUERY_ROWS, LEAF_ROWS = 4096, 2048, 64
 
@@ -134,7 +135,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ve
     equal rows count once; vectors of different lengths do not meet.  Fewer than k
     other rows give all of them.
     """
-    tune(vectors.sparkSession)
+    tw.prepare(vectors.sparkSession)
     x = F.col("x")
     usable = ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     rows = vectors.select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x"), is_query.alias("asked"))

@@ -150,6 +150,7 @@ def score(docs: DataFrame, weights: Weights, text: str = "text", into: str = "sc
     sentences of probability ``least`` or more: start and end (exclusive) in code
     points, and the probability.  Columns of these names are replaced.
     """
+    tw.prepare(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name not in (into, spans)]
     kind = T.ArrayType(T.StructType.fromDDL("start int, end int, probability double"))
     schema = T.StructType([*kept, T.StructField(into, T.DoubleType(), False), T.StructField(spans, kind)])
