@@ -48,7 +48,8 @@ def item_index(labs: DataFrame) -> DataFrame:
 
 
 def zscore(labs: DataFrame, value: str = "valuenum", population: bool = False) -> DataFrame:
-    """Standardise per item on observed values; constant items give null."""
+    """Standardise per item on observed values; constant items and NaN give null."""
+    labs = labs.withColumn(value, F.when(~F.isnan(value), F.col(value)))
     sd = F.stddev_pop(value) if population else F.stddev_samp(value)
     stats = labs.groupBy("itemid").agg(F.avg(value).alias("mean"), sd.alias("sd"))
     per_item = map_of(stats, "itemid", F.struct("mean", "sd"))

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.operators.ranking import order_statistic, with_running_totals
-from lacuna.session import cut_lineage
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -17,6 +16,13 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
+def _known(score: str) -> Column:
+    """The score; a missing one is an error in every metric."""
+    value = F.col(score).cast("double")
+    missing = F.raise_error(F.lit(f"column {score!r} holds a null or NaN score")).cast("double")
+    return F.when(value.isNull() | F.isnan(value), missing).otherwise(value)
+
+
 def confusion(
     df: DataFrame,
     label: str = "target",
@@ -25,7 +31,7 @@ def confusion(
     within: Sequence[str] = (),
 ) -> DataFrame:
     """Counts at the threshold and the ratios derived from them."""
-    actual, called = F.col(label) == 1, F.col(score) >= threshold
+    actual, called = F.col(label) == 1, _known(score) >= threshold
     counts = df.groupBy(*within).agg(
         F.count_if(actual & called).alias("tp"),
         F.count_if(~actual & called).alias("fp"),
@@ -47,10 +53,10 @@ def _by_score(df: DataFrame, label: str, score: str, within: Sequence[str]) -> D
     """Per distinct score: positives and negatives, their running totals and the
     group totals.  The counts are stored, so the scored rows are read once."""
     actual = F.col(label)
-    counted = df.groupBy(*within, score).agg(
+    counted = df.withColumn(score, _known(score)).groupBy(*within, score).agg(
         F.count_if(actual == 1).alias("pos"), F.count_if(actual == 0).alias("neg")
     )
-    return with_running_totals(cut_lineage(counted), score, ["pos", "neg"], within)
+    return with_running_totals(counted, score, ["pos", "neg"], within)
 
 
 def roc_auc(
@@ -99,6 +105,7 @@ def calibration(
     df: DataFrame, label: str = "target", score: str = "score", bins: int = 10
 ) -> DataFrame:
     """Mean score, observed rate and Brier score per score bin of equal width."""
+    df = df.withColumn(score, _known(score))
     index = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
     error = F.col(score) - F.col(label)
     return df.groupBy(index.alias("score_bin")).agg(

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions import hashing
 from lacuna.operators import metrics, sampling
-from lacuna.operators.ranking import with_row_number
+from lacuna.operators.ranking import median, with_row_number
 from lacuna.session import cut_lineage
 
 LABEL, FEATURES = "label", "features"
@@ -113,7 +113,7 @@ def column_medians(train: DataFrame, size: int) -> list[float]:
     """Training median per feature; 0 for a feature without any value.  Only one
     number per feature comes back to the driver."""
     cells = train.select(F.posexplode("values").alias("at", "x")).filter("x IS NOT NULL")
-    found = cells.groupBy("at").agg(F.percentile_approx("x", 0.5).alias("median")).collect()
+    found = median(cells, "x", ["at"]).collect()
     medians = dict(map(tuple, found))
     return [medians.get(i, 0.0) for i in range(size)]
 
@@ -251,7 +251,7 @@ def grid_search(
         search = CrossValidator(
             estimator=forest,
             estimatorParamMaps=maps,
-            evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
+            evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC", numBins=0),
             numFolds=inner,
             foldCol="inner_fold",
             parallelism=parallelism,

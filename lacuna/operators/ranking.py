@@ -1,9 +1,10 @@
 """Global numbering and running totals without a single-task sort.
 
 A window without PARTITION BY sends every row to one task.  Here rows are first
-split into cells whose order is known from the value itself; the totals per cell
-(a small table) give each cell its offset, and the rest is a window inside the
-cell.  The result is exact.
+stored in range partitions of about equal size; the totals per partition (a small
+table) give each its offset, and the rest is a window inside the partition.  The
+result is exact whatever the distribution: an outlier moves no boundary by more than
+itself, and the number of partitions grows with the data.
 """
 
 from __future__ import annotations
@@ -17,36 +18,37 @@ from pyspark.sql import functions as F
 from lacuna.session import cut_lineage
 
 BEFORE = (W.unboundedPreceding, -1)
-CELLS = 4096
+
+
+def _ranged(df: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
+    """``df`` stored in partitions that are ranges of ``keys``, numbered in ``_cell``."""
+    return cut_lineage(df.repartitionByRange(*keys).withColumn("_cell", F.spark_partition_id()))
+
+
+def _before(c: str, within: Sequence[str]) -> Column:
+    earlier = W.partitionBy(*within).orderBy("_cell").rowsBetween(*BEFORE)
+    return F.coalesce(F.sum(c).over(earlier), F.lit(0))
 
 
 def with_row_number(
     df: DataFrame,
-    order: str,
+    order: str | Column | Sequence[str | Column],
     name: str = "row_number",
     within: Sequence[str] = (),
-    prefix: int = 3,
 ) -> DataFrame:
-    """0-based position of each row in the order of a text column.
-
-    ``order`` holds text with evenly spread leading characters, such as a hex
-    digest, and is unique within a group.  The first ``prefix`` characters are
-    the cell: 16**prefix cells per group.  ``df`` is read twice (cell totals, rows):
-    pass a stored table where it is costly to compute.
-    """
-    cell = F.substring(order, 1, prefix)
-    rows = df.withColumn("_cell", cell)
+    """0-based position of each row in the order of one or more columns, which
+    together are unique within a group."""
+    keys = [order] if isinstance(order, str | Column) else list(order)
+    rows = _ranged(df, [*within, *keys])
     totals = rows.groupBy(*within, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = W.partitionBy(*within).orderBy("_cell").rowsBetween(*BEFORE)
-    offsets = totals.select(
-        *within, "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    inside = W.partitionBy(*within, "_cell").orderBy(order)
-    return (
-        rows.join(offsets, [*within, "_cell"])
-        .withColumn(name, F.row_number().over(inside) - 1 + F.col("_before"))
-        .drop("_cell", "_before")
-    )
+    offsets = totals.select(*within, "_cell", _before("_n", within).alias("_offset"))
+    inside = W.partitionBy(*within, "_cell").orderBy(*keys)
+    same = F.col("_cell") == F.col("_c")
+    renamed = offsets.toDF(*[f"_w{k}" for k in range(len(within))], "_c", "_offset")
+    for k, column in enumerate(within):
+        same &= F.col(column).eqNullSafe(F.col(f"_w{k}"))
+    numbered = rows.join(renamed, same).withColumn(name, F.row_number().over(inside) - 1 + F.col("_offset"))
+    return numbered.select(*df.columns, name)
 
 
 def with_running_totals(
@@ -55,59 +57,33 @@ def with_running_totals(
     """Inclusive running totals ``cum_<c>`` of ``sums`` by ascending ``order``,
     which is numeric and unique within a group, and the group totals ``tot_<c>``.
 
-    The order column is scaled to [0, 1] and cut twice into 4096 cells, so the
-    offset windows see at most 4096 rows each and the row windows work on slices of
-    1/16.7 million of the value range.  The offsets reach the rows by a join on the
-    cell, which is also how the row windows are partitioned.
-
-    ``df`` is read three times (range, cell totals, rows): pass a stored table.
+    The running sums are windows inside one range partition of the order column.
     """
     if not within:
         keyed = with_running_totals(df.withColumn("_all", F.lit(0)), order, sums, ["_all"])
         return keyed.drop("_all")
     within = list(within)
-    span = df.agg(F.struct(F.min(order).alias("lo"), F.max(order).alias("hi"))).scalar()
-    width = F.col("_s.hi") - F.col("_s.lo")
-    unit = F.when(width > 0, (F.col(order) - F.col("_s.lo")) / width).otherwise(F.lit(0.0))
-    rows = (
-        df.withColumn("_s", span)
-        .withColumn("_u", unit * CELLS)
-        .withColumn("_c1", F.floor("_u").cast("int"))
-        .withColumn("_c2", F.floor((F.col("_u") - F.col("_c1")) * CELLS).cast("int"))
-        .drop("_s", "_u")
-    )
-    fine = rows.groupBy(*within, "_c1", "_c2").agg(*[F.sum(c).alias(c) for c in sums])
-    coarse = fine.groupBy(*within, "_c1").agg(*[F.sum(c).alias(c) for c in sums])
-
-    def before(c: str, partition: list[str], by: str) -> Column:
-        earlier = W.partitionBy(*partition).orderBy(by).rowsBetween(*BEFORE)
-        return F.coalesce(F.sum(c).over(earlier), F.lit(0))
-
-    upper = coarse.select(
-        *within,
-        "_c1",
-        *[before(c, within, "_c1").alias(f"_a_{c}") for c in sums],
+    rows = _ranged(df, [*within, order])
+    cells = rows.groupBy(*within, "_cell").agg(*[F.sum(c).alias(c) for c in sums])
+    offsets = cells.select(
+        *[F.col(c).alias(f"_w{k}") for k, c in enumerate(within)],
+        F.col("_cell").alias("_c"),
+        *[_before(c, within).alias(f"_b_{c}") for c in sums],
         *[F.sum(c).over(W.partitionBy(*within)).alias(f"tot_{c}") for c in sums],
     )
-    lower = fine.select(
-        *within,
-        "_c1",
-        "_c2",
-        *[before(c, [*within, "_c1"], "_c2").alias(f"_b_{c}") for c in sums],
-    ).join(upper, [*within, "_c1"])
-    cell = [*within, "_c1", "_c2"]
-    inside = W.partitionBy(*cell).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    running = [
-        (F.sum(c).over(inside) + F.col(f"_a_{c}") + F.col(f"_b_{c}")).alias(f"cum_{c}") for c in sums
-    ]
-    return rows.join(lower, cell).select(*df.columns, *running, *[f"tot_{c}" for c in sums])
+    same = F.col("_cell") == F.col("_c")
+    for k, column in enumerate(within):
+        same &= F.col(column).eqNullSafe(F.col(f"_w{k}"))
+    inside = W.partitionBy(*within, "_cell").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    running = [(F.sum(c).over(inside) + F.col(f"_b_{c}")).alias(f"cum_{c}") for c in sums]
+    return rows.join(offsets, same).select(*df.columns, *running, *[f"tot_{c}" for c in sums])
 
 
 def _counted(df: DataFrame, value: str, within: Sequence[str]) -> DataFrame:
     """Distinct values with their running count ``cum_w`` and group size ``tot_w``."""
     known = df.filter(F.col(value).isNotNull())
     counted = known.groupBy(*within, value).agg(F.count(F.lit(1)).alias("w"))
-    return with_running_totals(cut_lineage(counted), value, ["w"], within)
+    return with_running_totals(counted, value, ["w"], within)
 
 
 def order_statistic(

@@ -36,20 +36,22 @@ def group_folds(
 ) -> DataFrame:
     """Add a fold number; all rows of a group share it.
 
-    Groups are strata by their number of positives (up to 3) and rows (up to 8)
-    and dealt out round-robin in digest order through the strata, so every fold
-    gets nearly the same mix.
+    Groups are dealt by their exact numbers of positives and rows, largest first and
+    in serpentine order, so every fold gets nearly the same mix and one huge group is
+    met by the small ones of the other folds.  A row without group is a group of its
+    own, dealt by its digest.
     """
-    groups = df.groupBy(group).agg(
-        F.least(F.coalesce(F.sum(F.col(label).cast("int")), F.lit(0)), F.lit(3)).alias("pos"),
-        F.least(F.count(F.lit(1)), F.lit(8)).alias("rows"),
+    groups = df.where(F.col(group).isNotNull()).groupBy(group).agg(
+        F.coalesce(F.sum(F.col(label).cast("int")), F.lit(0)).alias("pos"), F.count(F.lit(1)).alias("rows")
     )
-    order = F.concat(
-        F.col("pos").cast("string"), F.col("rows").cast("string"), hashing.digest(group, seed=seed)
-    )
-    dealt = with_row_number(groups.withColumn("_d", order), "_d", "_rn", prefix=5)
-    folds = dealt.select(group, (F.col("_rn") % k).cast("int").alias(name))
-    return df.join(folds, group)
+    order = [F.desc("pos"), F.desc("rows"), F.asc("_d")]
+    dealt = with_row_number(groups.withColumn("_d", hashing.digest(group, seed=seed)), order, "_rn")
+    turn = F.col("_rn") % (2 * k)
+    fold = F.when(turn < k, turn).otherwise(2 * k - 1 - turn)
+    folds = dealt.select(F.col(group).alias("_g"), fold.cast("int").alias("_fold"))
+    alone = F.pmod(F.xxhash64(*df.columns), F.lit(k)).cast("int")
+    joined = df.join(folds, F.col(group) == F.col("_g"), "left")
+    return joined.withColumn(name, F.coalesce("_fold", alone)).drop("_g", "_fold")
 
 
 def fold_balance(folded: DataFrame, group: str = "subject_id", label: str = "target") -> DataFrame:

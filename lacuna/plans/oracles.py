@@ -18,9 +18,7 @@ labs0 AS (
          CASE WHEN hadm_id % 17 = 3 THEN ts - INTERVAL 10 DAY
               WHEN event_id % 101 = 0 THEN NULL ELSE ts END AS charttime,
          CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS valuenum
-  FROM ev
-  WHERE NOT (event_type = 'error'  AND event_id % 3 <> 0)
-    AND NOT (event_type = 'signup' AND user_id % 2 = 1)),
+  FROM ev),
 labevents AS (
   SELECT * FROM labs0
   UNION ALL
@@ -47,7 +45,7 @@ targets AS (
 cohort AS (
   SELECT a.subject_id, a.hadm_id, a.admittime, a.dischtime, coalesce(t.target, 0) AS target
   FROM admissions AS a LEFT JOIN targets AS t ON a.hadm_id = t.hadm_id
-  WHERE a.subject_id <= (SELECT max(user_id) FROM events) + 20 AND a.hadm_id % 13 <> 0),
+  WHERE a.hadm_id % 13 <> 0),
 people AS (
   SELECT DISTINCT c.*, p.gender, p.anchor_age, a.race
   FROM cohort c JOIN admissions a ON a.hadm_id = c.hadm_id
@@ -152,9 +150,10 @@ split AS (
 
 FOLDS = """,
 dealt AS (
-  SELECT subject_id, CAST((row_number() OVER (
-           ORDER BY least(sum(target), 3), least(count(*), 8), md5(subject_id || '|42')) - 1) % 5 AS INTEGER) AS fold
-  FROM cohort GROUP BY subject_id),
+  SELECT subject_id, CAST(CASE WHEN turn < 5 THEN turn ELSE 9 - turn END AS INTEGER) AS fold
+  FROM (SELECT subject_id, (row_number() OVER (
+          ORDER BY sum(target) DESC, count(*) DESC, md5(subject_id || '|42')) - 1) % 10 AS turn
+        FROM cohort GROUP BY subject_id)),
 folded AS (SELECT c.hadm_id, c.subject_id, c.target, d.fold FROM cohort c JOIN dealt d ON d.subject_id = c.subject_id)"""
 
 SIZES = """,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,19 +39,17 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+    """The folder all executors share: ``spark.checkpoint.dir``, the context's
+    checkpoint directory, or else one below the session's warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
-    ``spark.checkpoint.dir`` names it.  Only where neither that setting nor a
-    checkpoint directory of the context exists (tests, a laptop) is a temporary
-    folder made, once per context.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lacuna-"))
-    return context.getCheckpointDir()
+
+def clear_shared(spark: SparkSession) -> bool:
+    """Delete what this library has stored in the shared folder; frames that were cut
+    from their lineage cannot be read after it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/lacuna")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -17,6 +17,7 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "encoding": "UTF-8",
+    "mode": "FAILFAST",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
@@ -35,8 +36,8 @@ def read_csv(
     multiline: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
-    """CSV with a header; an empty field is null.  ``.gz`` files are decompressed
-    by name.
+    """CSV with a header; an empty field and a NaN number are null, a field that does
+    not fit its type is an error.  ``.gz`` files are decompressed by name.
 
     A gzip file, or any file read with ``multiline`` (text with line breaks), is
     one task from end to end: write many files, or give ``partitions`` to spread
@@ -44,9 +45,16 @@ def read_csv(
     """
     paths = path if isinstance(path, str) else list(path)
     df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(paths, multiLine=multiline)
+    df = nan_to_null(df)
     return df.repartition(partitions) if partitions else df
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating-point columns as null, as the rest of the library expects."""
+    numbers = [f.name for f in df.schema if isinstance(f.dataType, T.FloatType | T.DoubleType)]
+    return df.withColumns({n: F.when(~F.isnan(n), F.col(n)) for n in numbers}) if numbers else df
+
+
 def write_csv(df: DataFrame, path: str, gzip: bool = False, mode: str = "overwrite") -> None:
     options = CSV_OPTIONS | CSV_TIMES | {"compression": "gzip" if gzip else "none"}
     df.write.mode(mode).options(**options).csv(path)
@@ -64,8 +72,14 @@ def write_parquet(
 
 
 def read_window_file(spark: SparkSession, folder: str, days: int) -> DataFrame:
-    """The extract of one window size, found by its name ``*_<days>_days_prior.parquet``."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/*_{days}_days_prior.parquet")
+    """The extract of one window size, found by its name ``*_<days>_days_prior.parquet``;
+    two extracts of that size are an error."""
+    df = spark.read.parquet(f"{folder.rstrip('/')}/*_{days}_days_prior.parquet")
+    name = re.compile(rf"[^/]*_{days}_days_prior\.parquet")
+    names = {m[0] for m in map(name.search, df.inputFiles()) if m}
+    if len(names) > 1:
+        raise ValueError(f"several extracts of {days} days: {sorted(names)}")
+    return nan_to_null(df)
 
 
 def window_days(name: str) -> int:

@@ -6,9 +6,15 @@ import pytest
 from compare import difference, load_entry, oracle_connection
 from conftest import SMALL
 
+from lacuna.plans import oracles, queries
+
 ENTRY = load_entry()
-ORACLES = ENTRY.oracle_sql()
-QUERIES = ENTRY.queries()
+ORACLES = oracles.all_sql()
+QUERIES = queries.REGISTRY
+
+
+def test_entry_registers_all():
+    assert set(QUERIES) <= set(ENTRY.queries()) and set(ORACLES) <= set(ENTRY.oracle_sql())
 
 
 def test_every_oracle_has_a_query():
