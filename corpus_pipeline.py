@@ -29,13 +29,19 @@ def delete_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The first document of every group of near copies; equal rows count once."""
-    found = minhash.near_duplicates(docs).where("id is not null and not kept").select("id").distinct()
-    return docs.join(found, F.col("doc_id") == F.col("id"), "left_anti").dropDuplicates(["doc_id", "text"])
+    found = cut_lineage(minhash.near_duplicates(docs).where("id is not null and not kept").select("id").distinct())
+    left = docs.join(found, F.col("doc_id") == F.col("id"), "left_anti")
+    # only rows that repeat an id can be equal: few, so the others need no shuffle
+    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    again = cut_lineage(again.select(F.col("doc_id").alias("id")))
+    repeats = left.join(again, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(again, F.col("doc_id") == F.col("id"), "left_anti").union(repeats)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without a copy of a benchmark passage."""
-    found = decontam.find_copies(docs, table(spark, folder, "benchmark")).select(F.col("doc_id").alias("id")).distinct()
+    found = decontam.find_copies(docs, table(spark, folder, "benchmark")).select(F.col("doc_id").alias("id"))
+    found = cut_lineage(found.distinct())
     return docs.join(found, F.col("doc_id") == F.col("id"), "left_anti")
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from lacuna.llm import textwork as tw
 
-MEMO_STRETCHES = 250_000
+MEMO_STRETCHES = 120_000
 MEMO_CHARS = 48
 _SPACES = re.compile(r"\s\x20|\x20\s")
 
@@ -160,6 +160,12 @@ def encoder(path: str) -> Encoder:
     return Encoder(read_ranks(path))
 
 
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> dict[int, bytes]:
+    """Bytes of each id of a rank file."""
+    return {rank: token for token, rank in read_ranks(path).items()}
+
+
 class _Memo(dict):
     """Packed ids of stretches met before.
 
@@ -240,7 +246,7 @@ def decode(docs: DataFrame, path: str, tokens: str = "tokens", into: str = "deco
     schema = T.StructType([*kept, T.StructField(into, T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = encoder(path).bytes_of
+        table = token_bytes(path)
         for batch in batches:
             column = batch.column(tokens)
             out = [b"".join(map(table.__getitem__, ids.values.to_numpy().tolist())) if ids.is_valid else b"" for ids in column]

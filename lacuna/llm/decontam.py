@@ -9,7 +9,7 @@
    item finds the best local copy, edited or not.  The score is divided by that of the
    whole item copied exactly.
 
-Both scans look n-grams up in a bitmap of fixed size (``FILTER_BITS``) made from the
+Both scans look n-grams up in a bitmap of fixed size (``textwork.FILTER_BITS``) made from the
 items, whatever their number; the join after it is exact, so false hits only cost time.
 
 Words are runs of letters and digits, A-Z lower-cased.  Items of fewer than ``SEED``
@@ -31,7 +31,6 @@ from lacuna.session import cut_lineage
 
 SEED = 3
 THRESHOLD = 0.5
-FILTER_BITS = 24
 MATCH, MISMATCH, GAP = 2, -1, -1
 _CELLS = 4_000_000  # alignment cells worked on at once
 
@@ -57,23 +56,6 @@ def _item_words(items: DataFrame, text: str, item_id: str) -> DataFrame:
     )
 
 
-def _bitmap(grams: DataFrame) -> np.ndarray:
-    """Bits of the fingerprints' low ends, of fixed size whatever their number."""
-    slot = F.col("gram").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    filled = grams.groupBy(F.shiftright(slot, 5).alias("at")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(31)).cast("int"))).alias("bits")
-    )
-    out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    table = filled.toArrow()
-    out[table["at"].to_numpy()] = table["bits"].to_numpy()
-    return out
-
-
-def _in_bitmap(grams: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    slot = grams & np.uint64((1 << FILTER_BITS) - 1)
-    return (bitmap[slot >> np.uint64(5)] >> (slot & np.uint64(31)).astype(np.uint32)) & np.uint32(1) != 0
-
-
 def gram_counts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
     """``gram, n`` over all documents for n-grams in the bitmap, added up in the tasks."""
 
@@ -81,7 +63,7 @@ def gram_counts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
         for batch in batches:
             for part in tw.slices(batch.column("text")):
                 grams, _, _ = tw.grams(tw.words(part, tw.NOT_ALNUM), SEED)
-                own, n = np.unique(grams[_in_bitmap(grams, bitmap)], return_counts=True)
+                own, n = np.unique(grams[tw.in_bitmap(grams, bitmap)], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(tw.signed(own)), pa.array(n)], ["gram", "n"])
 
     return docs.mapInArrow(work, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -95,7 +77,7 @@ def regions(docs: DataFrame, bitmap: np.ndarray, margin: int) -> DataFrame:
             for part in tw.slices(batch.column("text")):
                 found = tw.words(part, tw.NOT_ALNUM)
                 grams, first, bounds = tw.grams(found, SEED)
-                hit = np.flatnonzero(_in_bitmap(grams, bitmap))
+                hit = np.flatnonzero(tw.in_bitmap(grams, bitmap))
                 if not len(hit):
                     continue
                 doc = np.searchsorted(bounds, hit, "right") - 1
@@ -206,7 +188,7 @@ def find_copies(
     rows = rows.where("id is not null and text is not null")
     known = cut_lineage(_item_words(items, item_text, item_id))
     grams = known.select("item_id", F.explode(F.array_distinct("grams")).alias("gram"))
-    counts = cut_lineage(gram_counts(rows, _bitmap(grams)))
+    counts = cut_lineage(gram_counts(rows, tw.bitmap(grams.select("gram"))))
     rank = F.row_number().over(W.partitionBy("item_id").orderBy("n", "gram"))
     size = F.count("*").over(W.partitionBy("item_id"))
     seeds = (
@@ -215,7 +197,7 @@ def find_copies(
     )
     seeds = cut_lineage(seeds)
     margin = known.agg(F.max(F.size("words"))).first()[0] or 0
-    found = cut_lineage(regions(rows, _bitmap(seeds), margin))
+    found = cut_lineage(regions(rows, tw.bitmap(seeds.select("gram")), margin))
     pairs = (
         found.select("id", "body", "first", F.explode(F.array_distinct("hits")).alias("gram"))
         .join(seeds, "gram").select("id", "body", "first", "item_id").distinct()

@@ -113,11 +113,17 @@ def signatures(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> D
     return docs.select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def shingles(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """``id, shingles``: the full set of each row, sorted."""
+def shingles(docs: DataFrame, wanted: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
+    """``id, shingles``: the full sets, sorted, of the rows whose id is in ``wanted``.
+
+    A bitmap of fixed size keeps most other rows from being shuffled; the join that
+    follows is exact.
+    """
+    bits = tw.bitmap(wanted.select(F.xxhash64("id").alias("hash")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(tw.in_bitmap(batch.column(2).to_numpy().view(np.uint64), bits)))
             ids, at = batch.column(0), 0
             for part in tw.slices(batch.column(1)):
                 sets = list(shingle_sets(part))
@@ -126,8 +132,9 @@ def shingles(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> Dat
                 yield pa.RecordBatch.from_arrays([ids.slice(at, part.rows), values], ["id", "shingles"])
                 at += part.rows
 
-    source = docs.select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return source.mapInArrow(run, "id long, shingles array<long>")
+    row = F.col(row_id).cast("long")
+    source = docs.select(row.alias("id"), F.col(text).alias("text"), F.xxhash64(row).alias("hash"))
+    return source.mapInArrow(run, "id long, shingles array<long>").join(wanted.select("id"), "id", "left_semi")
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -313,9 +320,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
         .groupBy("id").agg(F.max_by("pivot", estimate(F.col("packed"), F.col("packed_p"))).alias("b"))
         .select(F.col("id").alias("a"), "b")
     )
-    sets = shingles(docs.where(F.col(row_id).isNotNull()), text, row_id)
-    sets = sets.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "shingles"])
-    sets = cut_lineage(sets)
+    wanted = cut_lineage(members.select("id").distinct())
+    sets = shingles(docs.where(F.col(row_id).isNotNull()), wanted, text, row_id)
+    sets = cut_lineage(sets.dropDuplicates(["id", "shingles"]))
     links = cut_lineage(_verified(cut_lineage(stars), sets, percent))
     first = _roots(links)
 

@@ -15,7 +15,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lacuna.session import tune
 
@@ -24,7 +25,8 @@ BATCH_SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+FILTER_BITS = 24
 U64 = np.uint64
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -186,6 +188,24 @@ def grams(found: Pieces, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return everything[first], first, bounds
 
 
+def bitmap(values: DataFrame) -> np.ndarray:
+    """Bitmap of the low ends of a column of fingerprints, of ``FILTER_BITS`` bits
+    whatever their number; what reaches the driver is bounded by it."""
+    (name,) = values.columns
+    slot = F.col(name).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(31)).cast("int"))
+    table = values.groupBy(F.shiftright(slot, 5).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    out[table["at"].to_numpy()] = table["bits"].to_numpy()
+    return out
+
+
+def in_bitmap(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether each unsigned fingerprint may be in the bitmap."""
+    slot = values & U64((1 << FILTER_BITS) - 1)
+    return (bits[slot >> U64(5)] >> (slot & U64(31)).astype(np.uint32)) & np.uint32(1) != 0
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
