@@ -2,8 +2,7 @@
 
 Every step is a grouped minimum (combined on the map side) and a join back; a node with
 very many links is reduced before it moves, and the join of a stored table with stored
-minima is one that the adaptive skew rule may split.  Only row counts and a checksum
-reach the driver.
+minima is one that the adaptive skew rule may split.  Only a count reaches the driver.
 """
 
 from __future__ import annotations
@@ -19,8 +18,13 @@ def _minima(links: DataFrame) -> DataFrame:
     return cut_lineage(links.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m")))
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(links: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v`` that is no ``u`` itself: stars only."""
+    ends = links.select(F.col("u").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(
+        links.select("v", F.lit(0), F.lit(1))
+    )
+    mixed = ends.groupBy("id").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 or down + up > 1")
+    return mixed.agg(F.count("*")).first()[0] == 0
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,9 +40,7 @@ def components(links: DataFrame) -> DataFrame:
     down = cut_lineage(
         links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
-    before = None
-    while (now := _state(down)) != before and now[0]:
-        before = now
+    while not _settled(down):
         both = down.union(down.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (
             both.join(_minima(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
