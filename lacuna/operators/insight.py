@@ -61,25 +61,34 @@ def measured_pairs(labs: DataFrame) -> DataFrame:
 
 
 def missingness_by_group(
-    people: DataFrame, labs: DataFrame, group: str, items: Sequence[int]
+    people: DataFrame, labs: DataFrame, groups: Sequence[str], items: Sequence[int]
 ) -> DataFrame:
     """Share of admissions of each group without any measurement of the item.
 
-    ``people`` has one row per admission with the group column.
+    ``people`` has one row per admission with the columns named in ``groups``; all of
+    them are counted in one pass, as ``group_name`` and ``group_value`` (text).
     """
-    sizes = people.groupBy(group).agg(F.count(F.lit(1)).alias("admissions"))
-    ids = F.array(*[F.lit(i) for i in items])
-    grid = sizes.withColumn("itemid", F.explode(ids))
+    named = [
+        F.struct(F.lit(g).alias("group_name"), F.col(g).cast("string").alias("group_value")) for g in groups
+    ]
+    members = people.select("hadm_id", F.inline(F.array(*named)))
+    group = ["group_name", "group_value"]
+    sizes = members.groupBy(*group).agg(F.count(F.lit(1)).alias("admissions"))
+    grid = sizes.withColumn("itemid", F.explode(F.array(*[F.lit(i) for i in items])))
     counts = (
         measured_pairs(labs)
-        .join(people.select("hadm_id", group), "hadm_id")
-        .groupBy(F.col(group).alias("_g"), F.col("itemid").alias("_i"))
+        .join(members, "hadm_id")
+        .groupBy(F.col("group_name").alias("_n"), F.col("group_value").alias("_v"), F.col("itemid").alias("_i"))
         .agg(F.count(F.lit(1)).alias("measured"))
     )
-    same = F.col(group).eqNullSafe(F.col("_g")) & (F.col("itemid") == F.col("_i"))
+    same = (
+        (F.col("group_name") == F.col("_n"))
+        & F.col("group_value").eqNullSafe(F.col("_v"))
+        & (F.col("itemid") == F.col("_i"))
+    )
     n = F.coalesce("measured", F.lit(0))
     return grid.join(counts, same, "left").select(
-        F.col(group).alias("group_value"),
+        *group,
         "itemid",
         "admissions",
         n.alias("measured"),

@@ -71,16 +71,18 @@ def random_forest(
     )
 
 
-def logistic_regression(n_rows: int, penalty: str = "l2", C: float = 1.0) -> LogisticRegression:
+def logistic_regression(total_weight: float, penalty: str = "l2", C: float = 1.0) -> LogisticRegression:
     """``C`` weighs the summed loss against the penalty; Spark averages the loss,
-    hence the division by the number of rows."""
+    hence the division by the total weight of the rows.  The penalty acts on the
+    coefficients of the columns as they are."""
     if penalty not in ("l1", "l2"):
         raise ValueError("penalty must be 'l1' or 'l2'")
     return LogisticRegression(
         labelCol=LABEL,
         featuresCol=FEATURES,
         weightCol="weight",
-        regParam=1.0 / (C * n_rows),
+        regParam=1.0 / (C * total_weight),
+        standardization=False,
         elasticNetParam=1.0 if penalty == "l1" else 0.0,
     )
 
@@ -109,6 +111,11 @@ def perceptron(inputs: int, hidden: Sequence[int] = (16,), max_iter: int = 100,
     return Pipeline(stages=[scale, net])
 
 
+def _takes_weights(estimator: Estimator) -> bool:
+    stages = estimator.getStages() if isinstance(estimator, Pipeline) else [estimator]
+    return any(stage.hasParam("weightCol") for stage in stages)
+
+
 def column_medians(train: DataFrame, size: int) -> list[float]:
     """Training median per feature; 0 for a feature without any value.  Only one
     number per feature comes back to the driver."""
@@ -150,13 +157,13 @@ def fit_fold(
     frame: DataFrame,
     columns: Sequence[str],
     fold: int,
-    make: Callable[[int], Estimator],
+    make: Callable[[float], Estimator],
     weights: Weights = None,
     seed: int = 42,
     masks: bool = False,
 ) -> tuple[Model, DataFrame, DataFrame]:
     """Model of one fold, its (oversampled) training rows and its test rows.
-    ``make`` gets the number of training rows."""
+    ``make`` gets the total weight of the training rows."""
     train = frame.filter(F.col("fold") != fold)
     medians = column_medians(train, len(columns))
     balanced = sampling.oversample(train, "target", seed=seed)
@@ -167,7 +174,10 @@ def fit_fold(
         )
     )
     test = to_vectors(frame.filter(F.col("fold") == fold), medians, masks)
-    return make(fitted.count()).fit(fitted), fitted, test
+    estimator = make(fitted.agg(F.sum("weight")).first()[0])
+    if weights is not None and not _takes_weights(estimator):
+        raise ValueError("this learner has no row weights")
+    return estimator.fit(fitted), fitted, test
 
 
 def cross_validate(

@@ -196,8 +196,8 @@ xmd AS (
 
 
 VMD = (
-    filled(CHAIN, width=84)
-    + XMD_BINNED.format(w=84, items=ITEM_LIST).replace(WINDOW, "")
+    filled(CHAIN, width=12)
+    + XMD_BINNED.format(w=12, items=ITEM_LIST).replace(WINDOW, "")
     + """,
 cells AS (
   SELECT x.hadm_id, x.itemid, x.bin, f.filled AS v, x.m, x.delta AS d
@@ -223,7 +223,7 @@ med AS (
   WHERE hadm_id IN (SELECT hadm_id FROM split WHERE is_test = 0) GROUP BY itemid)"""
 
 
-def _knn(k: int = 5, width: int = 84, last_bin: int = 2) -> str:
+def _knn(k: int = 5, width: int = 12, last_bin: int = 14) -> str:
     names = [f"{i}_{b}" for i in ITEMS for b in range(last_bin + 1)]
     return means(width) + f""",
 stays AS (SELECT DISTINCT hadm_id FROM bm),
@@ -331,7 +331,7 @@ def all_sql() -> dict[str, str]:
         columns = ", ".join(
             f'{vmd[letter].format(cond=cond)} AS "{name}"'
             for letter in letters
-            for name, cond in matrix_columns(2, f"{letter}_")
+            for name, cond in matrix_columns(14, f"{letter}_")
         )
         return VMD + f" SELECT hadm_id, {columns} FROM cells GROUP BY hadm_id"
 

@@ -354,7 +354,7 @@ def _vmd_cells(t: ClinicalTables, width: int) -> DataFrame:
 
 
 def _feature_set(t: ClinicalTables, kind: str) -> DataFrame:
-    wide = matrix.feature_set(_vmd_cells(t, 84), kind, ITEMS, 2)
+    wide = matrix.feature_set(_vmd_cells(t, WIDTH), kind, ITEMS, LAST_BIN)
     return wide.select("hadm_id", *[(F.col(c) if c[0] == "m" else r6(c)).alias(c) for c in wide.columns[1:]])
 
 
@@ -395,11 +395,10 @@ def item_index(t: ClinicalTables) -> DataFrame:
 
 @query
 def zscore_normalise(t: ClinicalTables) -> DataFrame:
-    sample = items.zscore(t.window_labs).select("hadm_id", "itemid", "charttime", F.col("z").alias("z_sample"))
-    whole = items.zscore(t.window_labs, population=True)
+    sample = items.zscore(t.window_labs).withColumnRenamed("z", "z_sample")
+    both = items.zscore(sample, population=True)
     keys = ["hadm_id", "itemid", "charttime"]
-    both = sample.join(whole.select(*keys, F.col("z").alias("z_population")), keys)
-    return both.select(*keys, r6("z_sample").alias("z_sample"), r6("z_population").alias("z_population"))
+    return both.select(*keys, r6("z_sample").alias("z_sample"), r6("z").alias("z_population"))
 
 
 # ---- labels and matrices ---------------------------------------------------
@@ -451,16 +450,14 @@ def pivot_measured(t: ClinicalTables) -> DataFrame:
 
 # ---- imputation, splits, resampling ----------------------------------------
 
-KNN_WIDTH, KNN_LAST_BIN = 84, 2
-
 
 @query
 def knn_impute(t: ClinicalTables) -> DataFrame:
-    means = series.bin_mean(t.window_labs, KNN_WIDTH)
-    vectors = cut_lineage(matrix.vector_features(means, ITEMS, KNN_LAST_BIN, value="mean"))
+    means = series.bin_mean(t.window_labs, WIDTH)
+    vectors = cut_lineage(matrix.vector_features(means, ITEMS, LAST_BIN, value="mean"))
     split = cut_lineage(sampling.holdout(vectors, seed=0))
     filled = impute.knn_impute(split, split.filter("is_test = 0"))
-    names = matrix.feature_columns(ITEMS, KNN_LAST_BIN)
+    names = matrix.feature_columns(ITEMS, LAST_BIN)
     return matrix.named_cells(filled, names).withColumn("value", r6("value"))
 
 
@@ -623,11 +620,8 @@ def missingness_by_group(t: ClinicalTables) -> DataFrame:
         codes.race_group(F.col("race")).alias("race"),
         codes.at_least(F.col("anchor_age"), 65).cast("string").alias("age_65"),
     )
-    parts = [
-        insight.missingness_by_group(people, t.window_labs, g, ITEMS).withColumn("group_name", F.lit(g))
-        for g in ("gender", "race", "age_65")
-    ]
-    return reduce(DataFrame.unionByName, parts).withColumn("missing_rate", r6("missing_rate"))
+    found = insight.missingness_by_group(people, t.window_labs, ("gender", "race", "age_65"), ITEMS)
+    return found.withColumn("missing_rate", r6("missing_rate"))
 
 
 @query

@@ -114,14 +114,44 @@ def read_table(spark: SparkSession, table: str, schema: str | None = None) -> Da
     return spark.table(f"{schema}.{table}")
 
 
+def jdbc_options(
+    query: str, url: str, split: tuple[str, int, int, int] | None = None, **options: str
+) -> dict[str, str]:
+    """Options of a JDBC read of ``query``.
+
+    ``split`` is (column, lower bound, upper bound, partitions): the query is read by
+    that many tasks, each a range of the column; rows outside the bounds go to the
+    first and last.  Without it one task reads all.
+    """
+    if split is None:
+        return {"url": url, "query": query, **options}
+    column, lower, upper, partitions = split
+    if partitions < 1 or lower >= upper:
+        raise ValueError("split needs partitions >= 1 and a lower bound below the upper")
+    return {
+        "url": url,
+        "dbtable": f"({query}) AS split_query",
+        "partitionColumn": column,
+        "lowerBound": str(lower),
+        "upperBound": str(upper),
+        "numPartitions": str(partitions),
+        **options,
+    }
+
+
 def read_query(
-    spark: SparkSession, query: str, url: str | None = None, **options: str
+    spark: SparkSession,
+    query: str,
+    url: str | None = None,
+    split: tuple[str, int, int, int] | None = None,
+    **options: str,
 ) -> DataFrame:
     """Result of a SQL query: over Spark's own views, or pushed to a database when
-    a JDBC ``url`` is given (the driver jar is the caller's)."""
+    a JDBC ``url`` is given (the driver jar is the caller's; ``split`` as in
+    ``jdbc_options``)."""
     if url is None:
         return spark.sql(query)
-    return spark.read.format("jdbc").options(url=url, query=query, **options).load()
+    return spark.read.format("jdbc").options(**jdbc_options(query, url, split, **options)).load()
 
 
 def register(df: DataFrame, view: str) -> str:

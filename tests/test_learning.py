@@ -230,10 +230,17 @@ def test_forest_parameters():
     made = models.random_forest(n_estimators=7, max_depth=4, min_samples_split=5, min_samples_leaf=None)
     assert (made.getNumTrees(), made.getMaxDepth(), made.getMinInstancesPerNode()) == (7, 4, 3)
     assert models.logistic_regression(100, "l1", 0.1).getRegParam() == pytest.approx(0.1)
+    assert not models.logistic_regression(100).getStandardization()
     with pytest.raises(ValueError):
         models.logistic_regression(100, "elastic")
 
 
+def test_a_learner_without_row_weights_refuses_class_weights(frame):
+    make = lambda _: models.perceptron(3, (4,), 5)
+    with pytest.raises(ValueError, match="no row weights"):
+        models.fit_fold(frame, "abc", 0, make, weights={0: 1, 1: 2})
+
+
 @pytest.mark.parametrize("feature_set", ["V", "M", "VMD"])
 def test_feature_vectors_of_an_extract(spark, feature_set):
     from test_series import random_labs

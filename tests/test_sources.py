@@ -156,3 +156,14 @@ def test_config():
     ):
         with pytest.raises(ValueError):
             ExperimentConfig(**bad)
+
+
+def test_a_query_to_a_database_can_be_read_in_ranges():
+    plain = tables.jdbc_options("SELECT 1 AS x", "jdbc:any", user="u")
+    assert plain == {"url": "jdbc:any", "query": "SELECT 1 AS x", "user": "u"}
+    ranged = tables.jdbc_options("SELECT x FROM t", "jdbc:any", ("x", 0, 100, 8))
+    assert "query" not in ranged and ranged["dbtable"] == "(SELECT x FROM t) AS split_query"
+    assert (ranged["partitionColumn"], ranged["lowerBound"], ranged["upperBound"], ranged["numPartitions"]) == ("x", "0", "100", "8")
+    for bad in (("x", 5, 5, 8), ("x", 0, 5, 0)):
+        with pytest.raises(ValueError):
+            tables.jdbc_options("SELECT x FROM t", "jdbc:any", bad)
