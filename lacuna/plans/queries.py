@@ -35,7 +35,7 @@ REGISTRY: dict[str, Query] = {}
 WIDTH = 12
 LAST_BIN = 14
 # settings of the registered model queries; the library defaults are larger
-FOLDS = 3
+FOLDS = 5
 TREES = {"n_estimators": 20, "max_depth": 5, "min_samples_split": 5}
 
 
@@ -644,11 +644,11 @@ def missingness_target_assoc(t: ClinicalTables) -> DataFrame:
 
 # ---- models (rows-only checks: results depend on the learner) ---------------
 
-COLUMNS = matrix.feature_columns(ITEMS, 7)
+COLUMNS = matrix.feature_columns(ITEMS, LAST_BIN)
 
 
 def _frame(t: ClinicalTables) -> DataFrame:
-    vectors = matrix.vector_features(series.fill(_dense(t, 24)), ITEMS, 7)
+    vectors = matrix.vector_features(series.fill(_dense(t)), ITEMS, LAST_BIN)
     return models.training_frame(vectors, _labels(t), k=FOLDS)
 
 
