@@ -1,19 +1,23 @@
-"""Benchmark passages in training documents: rare n-gram seeds, then local alignment.
-
-1. The n-grams of all test items are counted in all documents.
-2. Seeds of an item are the rarer half of its n-grams (ties by fingerprint).  The rule
-   is relative to the item, so a passage copied a million times is still found.
-3. Documents are scanned for seeds; close hits become a region of words with a margin
-   of the longest item on both sides.  Regions join items on the seeds they hold.
-4. Smith-Waterman alignment of words (match 2, mismatch -1, gap -1) between region and
-   item finds the best local copy, edited or not.  The score is divided by that of the
-   whole item copied exactly.
-
-Both scans look n-grams up in a bitmap of fixed size (``textwork.FILTER_BITS``) made from the
-items, whatever their number; the join after it is exact, so false hits only cost time.
-
-Words are runs of letters and digits, A-Z lower-cased.  Items of fewer than ``SEED``
-words have no seed and are never reported.
+"""Benchmark passages in training documents: spaced word triples, then local alignment.
+
+1. Seeds of an item are all its triples of words that stand in order within ``REACH``
+   words, whatever lies between.  Documents are scanned for the same triples.
+2. Hits of one item that follow each other closely form a cluster.  It goes on if it has
+   as many hits as every copy of the threshold's score must have (``needed``).
+3. Smith-Waterman alignment of words (match 2, mismatch -1, gap -1) between the words
+   around the cluster and the item finds the best local copy, edited or not.  The score
+   is divided by that of the whole item copied exactly.
+
+No copy of the threshold or more is lost: of m matched words with edits of total cost
+E = 2 m - 2 t L at most (L words of the item, threshold t), (m - 2) / 2 - E / 3 or more
+of every second triple have edits of cost 2 at most between them, so they span
+``REACH`` words at most on both sides.  At t = 0.5 that is L / 6 - 1 triples or more:
+one at least for items of 7 words.  Of shorter items, copies that hold no such triple,
+and items of fewer than ``SEED`` words at all, are never reported.
+
+The scan looks triples up in a bitmap of fixed size (``textwork.FILTER_BITS``) made from
+the items, whatever their number; the join after it is exact, so false hits only cost
+time.  Words are runs of letters and digits, case-folded in all scripts.
 """
 
 from __future__ import annotations
@@ -22,28 +26,63 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lacuna.llm import textwork as tw
 from lacuna.session import cut_lineage
 
-SEED = 3
+SEED, REACH = 3, 5
+_SHAPES = [(a, b) for b in range(2, REACH) for a in range(1, b)]
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 _CELLS = 4_000_000  # alignment cells worked on at once
 
 
+def folded(text: pa.Array) -> pa.Array:
+    """Texts case-folded; ASCII is left to the hashing of words."""
+    plain = pc.fill_null(pc.string_is_ascii(text), True)
+    if pc.all(plain).as_py() in (True, None):
+        return text
+    return pa.array([t if ok else t.casefold() for t, ok in zip(text.to_pylist(), plain.to_pylist())], text.type)
+
+
+def triples(found: tw.Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprint, document and first word of all spaced triples inside documents."""
+    parts = []
+    owner = np.repeat(np.arange(len(found.bounds) - 1), np.diff(found.bounds))
+    for a, b in _SHAPES:
+        n = max(0, len(found.hashes) - b)
+        first = np.flatnonzero(owner[:n] == owner[b : b + n])
+        gram = np.zeros(len(first), tw.U64)
+        for k in (0, a, b):
+            gram = gram * tw.U64(tw._STEP) + found.hashes[first + k]
+        parts.append((tw.mix(gram + tw.U64(SEED)), owner[first], first))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def span(size: np.ndarray, threshold: float) -> np.ndarray:
+    """Most words of text that a copy of the threshold's score can take."""
+    return np.ceil((3 - 2 * threshold) * size - 1e-9).astype(np.int64)
+
+
+def needed(size: np.ndarray, threshold: float) -> np.ndarray:
+    """Fewest hits, counted by first word, of a copy of the threshold's score."""
+    return np.maximum(1, np.ceil((4 * threshold - 1) * size / 6 - 1 - 1e-9)).astype(np.int64)
+
+
 def _item_words(items: DataFrame, text: str, item_id: str) -> DataFrame:
     """``item_id, words, grams``; the longest text of a repeated id, null text empty."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
-            for part in tw.slices(batch.column(1)):
+            for part in tw.slices(folded(batch.column(1))):
                 found = tw.words(part, tw.NOT_ALNUM)
-                grams, _, bounds = tw.grams(found, SEED)
+                grams, doc, _ = triples(found)
+                order = np.argsort(doc, kind="stable")
+                grams, bounds = grams[order], np.searchsorted(doc[order], np.arange(part.rows + 1))
                 columns = [ids.slice(part.first, part.rows)]
                 for values, at in ((found.hashes, found.bounds), (grams, bounds)):
                     columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(tw.signed(values))))
@@ -56,56 +95,88 @@ def _item_words(items: DataFrame, text: str, item_id: str) -> DataFrame:
     )
 
 
-def gram_counts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """``gram, n`` over all documents for n-grams in the bitmap, added up in the tasks."""
+def hits(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """``id, body, gram, word``: triples of documents that may be in the bitmap."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tw.slices(folded(batch.column("text"))):
+                found = tw.words(part, tw.NOT_ALNUM)
+                grams, doc, first = triples(found)
+                hit = np.flatnonzero(tw.in_bitmap(grams, bitmap))
+                take = pa.array(doc[hit] + part.first)
+                word = (first[hit] - found.bounds[doc[hit]]).astype(np.int32)
+                columns = [batch.column(c).take(take) for c in ("id", "body")]
+                columns += [pa.array(tw.signed(grams[hit])), pa.array(word)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "body", "gram", "word"])
+
+    return docs.mapInArrow(work, "id long, body long, gram long, word int")
+
+
+def clusters(found: DataFrame, threshold: float) -> DataFrame:
+    """``id, body, item_id, lo, hi``: where enough hits of an item stand close together.
+
+    ``found``: ``id, body, item_id, size, at``, with the first words of all hits.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tw.slices(batch.column("text")):
-                grams, _, _ = tw.grams(tw.words(part, tw.NOT_ALNUM), SEED)
-                own, n = np.unique(grams[tw.in_bitmap(grams, bitmap)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(tw.signed(own)), pa.array(n)], ["gram", "n"])
+            at = batch.column("at")
+            owner = np.repeat(np.arange(len(at)), at.value_lengths().to_numpy())
+            word = at.flatten().to_numpy().astype(np.int64)
+            if not len(word):
+                continue
+            order = np.lexsort((word, owner))
+            owner, word = owner[order], word[order]
+            size = batch.column("size").to_numpy()
+            most = span(size, threshold)[owner]
+            new = np.ones(len(word), bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (word[1:] - word[:-1] > most[1:])
+            begin = np.flatnonzero(new)
+            stop = np.append(begin[1:], len(word))
+            keep = stop - begin >= needed(size, threshold)[owner[begin]]
+            begin, stop = begin[keep], stop[keep]
+            lo = np.maximum(word[begin] - most[begin], 0)
+            hi = word[stop - 1] + REACH + most[begin]
+            columns = [batch.column(c).take(pa.array(owner[begin])) for c in ("id", "body", "item_id")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(lo), pa.array(hi)], ["id", "body", "item_id", "lo", "hi"])
 
-    return docs.mapInArrow(work, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return found.mapInArrow(work, "id long, body long, item_id long, lo long, hi long")
 
 
-def regions(docs: DataFrame, bitmap: np.ndarray, margin: int) -> DataFrame:
-    """``id, body, first, words, hits``: stretches of words around close seeds."""
+def regions(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """``id, body, item_id, first, words``: the words of each cluster and around it."""
+    bitmap = tw.bitmap(asked.select("body"))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(tw.in_bitmap(batch.column("body").to_numpy().view(np.uint64), bitmap)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tw.slices(batch.column("text")):
+            wanted = batch.column("wanted")
+            for part in tw.slices(folded(batch.column("text"))):
                 found = tw.words(part, tw.NOT_ALNUM)
-                grams, first, bounds = tw.grams(found, SEED)
-                hit = np.flatnonzero(tw.in_bitmap(grams, bitmap))
-                if not len(hit):
+                rows: list[tuple[int, int, int]] = []
+                words = []
+                for k in range(part.rows):
+                    own = found.hashes[found.bounds[k] : found.bounds[k + 1]]
+                    for x in wanted[part.first + k].as_py():
+                        rows.append((k + part.first, x["item_id"], x["lo"]))
+                        words.append(own[x["lo"] : x["hi"]])
+                if not rows:
                     continue
-                doc = np.searchsorted(bounds, hit, "right") - 1
-                word = first[hit]
-                new = np.ones(len(hit), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (word[1:] - word[:-1] > margin)
-                begin = np.flatnonzero(new)
-                stop = np.append(begin[1:], len(hit))
-                owner = doc[begin]
-                lo = np.maximum(word[begin] - margin, found.bounds[owner])
-                hi = np.minimum(word[stop - 1] + SEED + margin, found.bounds[owner + 1])
-                take = pa.array(owner + part.first)
-                spans = pa.array(np.concatenate([[0], np.cumsum(hi - lo)]), pa.int32())
-                words = np.concatenate([found.hashes[a:b] for a, b in zip(lo, hi)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("id").take(take),
-                        batch.column("body").take(take),
-                        pa.array((lo - found.bounds[owner]).astype(np.int64)),
-                        pa.ListArray.from_arrays(spans, pa.array(tw.signed(words))),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.append(begin, len(hit)), pa.int32()), pa.array(tw.signed(grams[hit]))
-                        ),
-                    ],
-                    ["id", "body", "first", "words", "hits"],
-                )
-
-    return docs.mapInArrow(work, "id long, body long, first long, words array<long>, hits array<long>")
+                take, item, lo = map(pa.array, zip(*rows))
+                spans = pa.array(np.cumsum([0, *map(len, words)]), pa.int32())
+                lists = pa.ListArray.from_arrays(spans, pa.array(tw.signed(np.concatenate(words))))
+                columns = [batch.column(c).take(take) for c in ("id", "body")]
+                yield pa.RecordBatch.from_arrays([*columns, item, lo, lists], ["id", "body", "item_id", "first", "words"])
+
+    wanted = asked.groupBy("id", "body").agg(F.collect_list(F.struct("item_id", "lo", "hi")).alias("wanted"))
+    near = docs.mapInArrow(likely, "id long, body long, text string").join(wanted, ["id", "body"])
+    return near.select("id", "body", "text", "wanted").mapInArrow(
+        work, "id long, body long, item_id long, first long, words array<long>"
+    )
 
 
 def align(texts: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -187,24 +258,11 @@ def find_copies(
     rows = docs.select(F.col(row_id).cast("long").alias("id"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
     rows = rows.where("id is not null and text is not null")
     known = cut_lineage(_item_words(items, item_text, item_id))
-    grams = known.select("item_id", F.explode(F.array_distinct("grams")).alias("gram"))
-    counts = cut_lineage(gram_counts(rows, tw.bitmap(grams.select("gram"))))
-    rank = F.row_number().over(W.partitionBy("item_id").orderBy("n", "gram"))
-    size = F.count("*").over(W.partitionBy("item_id"))
-    seeds = (
-        grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        .withColumn("rank", rank).withColumn("size", size).where("2 * rank <= size + 1").select("item_id", "gram")
-    )
-    seeds = cut_lineage(seeds)
-    margin = known.agg(F.max(F.size("words"))).first()[0] or 0
-    found = cut_lineage(regions(rows, tw.bitmap(seeds.select("gram")), margin))
-    pairs = (
-        found.select("id", "body", "first", F.explode(F.array_distinct("hits")).alias("gram"))
-        .join(seeds, "gram").select("id", "body", "first", "item_id").distinct()
-    )
-    pairs = cut_lineage(pairs)
-    whole = pairs.join(found.drop("hits").dropDuplicates(["id", "body", "first"]), ["id", "body", "first"])
-    whole = whole.join(known.select("item_id", F.col("words").alias("item_words")), "item_id")
+    seeds = known.select("item_id", F.size("words").alias("size"), F.explode(F.array_distinct("grams")).alias("gram"))
+    found = hits(rows, tw.bitmap(seeds.select("gram"))).join(seeds, "gram")
+    found = found.groupBy("id", "body", "item_id", "size").agg(F.collect_set("word").alias("at"))
+    near = cut_lineage(clusters(found.select("id", "body", "item_id", "size", "at"), threshold))
+    whole = regions(rows, near).join(known.select("item_id", F.col("words").alias("item_words")), "item_id")
     best = F.max(F.struct("score", F.struct(-F.col("first_word"), "end_word"))).alias("x")
     return (
         _aligned(whole).where(F.col("score") >= threshold).groupBy("id", "body", "item_id").agg(best)

@@ -244,6 +244,45 @@ def test_exact_and_edited_copies_are_found_and_other_texts_are_not(spark, odd, n
     assert decontam.find_copies(odd, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("step", [3, 4, 5])
+def test_a_lone_edited_copy_is_found_without_any_whole_trigram(spark, step):
+    rng = random.Random(step)
+    item = [f"q{k}" for k in range(40)]
+    noise = lambda n: [f"n{rng.randrange(500)}" for _ in range(n)]
+    replaced = [f"z{k}" if k % step == step - 1 else w for k, w in enumerate(item)]
+    filled = [w for k, x in enumerate(item) for w in ([f"y{k}", x] if k % step == 0 else [x])]
+    rows = [(1, " ".join(noise(99) + replaced + noise(30))), (2, " ".join(noise(60) + filled + noise(9)))]
+    items = spark.createDataFrame([(10, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id for r in decontam.find_copies(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert found == {1, 2}
+
+
+def test_seeds_lose_no_pair_that_aligns(spark):
+    rng = random.Random(21)
+    items = [(i, [f"i{i}w{rng.randrange(30)}" for _ in range(rng.choice([7, 12, 25]))]) for i in range(12)]
+    rows = []
+    for k in range(240):
+        rate, own = rng.uniform(0, 0.5), []
+        for w in items[k % 12][1]:
+            x = rng.random()
+            own += [w] if x > rate else [[], [f"x{len(own)}"], [f"x{len(own)}", w]][rng.randrange(3)]
+        rows.append((k, ["pad"] * 5 + own + ["pad"] * 5))
+    want = {
+        (k, i) for k, text in rows for i, item in items if plain_alignment(text, item) >= len(item)
+    }
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.find_copies(docs, bench).collect()}
+    assert got == want and len(want) > 100
+
+
+def test_copies_in_other_case_are_found_in_all_scripts(spark):
+    item = "Ärger über Öfen, straße ΟΔΟΣ Нева élan Ñandú Žena łódź".split()
+    docs = spark.createDataFrame([(1, " ".join(item).upper())], "doc_id long, text string")
+    (row,) = decontam.find_copies(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert row.score == 1.0
+
+
 # ---- passages ----------------------------------------------------------------
 
 
