@@ -313,6 +313,35 @@ def test_repeated_passages_are_found_wherever_they_stand(spark, odd, none):
     assert substrings.repeated_passages(none).count() == 0
 
 
+def test_all_exact_repeats_of_50_words_and_more_are_found(spark):
+    rng = random.Random(11)
+    noise = lambda n: [f"n{rng.randrange(10**7)}" for _ in range(n)]
+    rows, want = [], {}
+    for k in range(200):
+        n, before, other = rng.randrange(50, 61), rng.randrange(100), rng.randrange(100)
+        passage = noise(n)
+        rows += [(2 * k, " ".join(noise(before) + passage + noise(99))), (2 * k + 1, " ".join(noise(other) + passage + noise(99)))]
+        want[2 * k + 1] = (other, other + n)
+    cycle = noise(55)
+    rows.append((1000, " ".join(noise(30) + cycle + cycle + noise(30))))
+    found = {r.doc_id: r for r in substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(found) == {*want, 1000}
+    for k, (first, end) in want.items():
+        assert found[k].source_id == k - 1 and found[k].first_word <= first and found[k].end_word >= end
+    assert found[1000].first_word >= found[1000].source_end_word
+
+
+def test_passages_just_over_the_similarity_are_found(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(200):
+        passage = [f"n{rng.randrange(10**7)}" for _ in range(70)]
+        near = [*passage[:25], "changed", *passage[26:]]  # 46 tokens at either end differ in 5 at most
+        rows += [(2 * k, " ".join(passage)), (2 * k + 1, " ".join(near))]
+    found = {r.doc_id for r in substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {2 * k + 1 for k in range(200)}
+
+
 # ---- top-k -------------------------------------------------------------------
 
 
