@@ -14,6 +14,8 @@ from lacuna.llm import bpe, decontam, labelled, linededup, minhash, quality
 from lacuna.llm.queries import ACCEPT, RANK_FILE, table
 from lacuna.session import cut_lineage
 
+LONG_LINE = 50  # words from which a repeated line is a passage of its own
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the quality network accepts."""
@@ -22,8 +24,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def delete_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Texts without later repeated runs of lines; a text of which nothing is left goes."""
-    cleaned = linededup.dedupe_lines(docs).where("n_deleted = 0 or n_deleted < n_lines")
+    """Texts without later repeated runs of lines and long lines; a text of which nothing is left goes."""
+    cleaned = linededup.dedupe_lines(docs, alone=LONG_LINE).where("n_deleted = 0 or n_deleted < n_lines")
     return cleaned.withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(docs.columns)
 
 

@@ -12,7 +12,8 @@ selected fingerprint.
    are one run, so a match is extended both ways as far as lines agree.  The lines of
    such a later run are deleted.
 
-So a line goes exactly if it lies in ``run`` consecutive lines that occur earlier.
+So a line goes exactly if it lies in ``run`` consecutive lines that occur earlier, or,
+with ``alone``, if it has so many words and an equal line stands earlier.
 Within one document occurrences may overlap: of a line repeated many times in
 succession one copy stays.
 """
@@ -49,8 +50,9 @@ def select_minima(hashes: np.ndarray, first: np.ndarray, size: int) -> np.ndarra
     return chosen
 
 
-def _windows(docs: DataFrame, run: int, counts: bool) -> DataFrame:
-    """Windows ``fp, key, id, body, at``, or with ``counts`` selected lines ``fp, n``."""
+def _windows(docs: DataFrame, run: int, counts: bool, least: int = 0) -> DataFrame:
+    """Windows ``fp, key, id, body, at``, or with ``counts`` selected lines ``fp, n``;
+    only windows whose first line has ``least`` words or more."""
     schema = "fp long, n long" if counts else "fp long, key long, id long, body long, at int"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,6 +60,11 @@ def _windows(docs: DataFrame, run: int, counts: bool) -> DataFrame:
             for part in tw.slices(batch.column(2)):
                 found = tw.lines(part)
                 keys, first, bounds = tw.grams(found, run)
+                doc = np.repeat(np.arange(part.rows), np.diff(bounds))
+                if least:
+                    begins = tw.words(part).start
+                    n_words = np.searchsorted(begins, found.end[first]) - np.searchsorted(begins, found.start[first])
+                    keys, first, doc = (x[n_words >= least] for x in (keys, first, doc))
                 if not len(keys):
                     continue
                 chosen = select_minima(found.hashes, first, run)
@@ -66,7 +73,6 @@ def _windows(docs: DataFrame, run: int, counts: bool) -> DataFrame:
                     columns = [tw.signed(fps), n]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["fp", "n"])
                     continue
-                doc = np.repeat(np.arange(part.rows), np.diff(bounds))
                 at = (first - found.bounds[doc]).astype(np.int32)
                 take = pa.array(doc + part.first)
                 columns = [pa.array(tw.signed(found.hashes[chosen])), pa.array(tw.signed(keys))]
@@ -76,7 +82,7 @@ def _windows(docs: DataFrame, run: int, counts: bool) -> DataFrame:
     return docs.mapInArrow(work, schema)
 
 
-def repeated_windows(docs: DataFrame, text: str = "text", row_id: str = "doc_id", run: int = RUN) -> DataFrame:
+def repeated_windows(docs: DataFrame, text: str = "text", row_id: str = "doc_id", run: int = RUN, least: int = 0) -> DataFrame:
     """Later windows and the first equal one: ``id, body, at, source_id, source_line``.
 
     ``body`` tells rows that repeat an id apart.  Equal rows of one id count as one.
@@ -84,8 +90,8 @@ def repeated_windows(docs: DataFrame, text: str = "text", row_id: str = "doc_id"
     """
     rows = docs.select(F.col(row_id).cast("long").alias("id"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
     rows = rows.where("id is not null and text is not null")
-    often = cut_lineage(_windows(rows, run, True).groupBy("fp").agg(F.sum("n").alias("n")).where("n > 1").select("fp"))
-    found = cut_lineage(_windows(rows, run, False).join(often, "fp", "left_semi").drop("fp"))
+    often = cut_lineage(_windows(rows, run, True, least).groupBy("fp").agg(F.sum("n").alias("n")).where("n > 1").select("fp"))
+    found = cut_lineage(_windows(rows, run, False, least).join(often, "fp", "left_semi").drop("fp"))
     place = F.struct("id", "body", "at")
     first = cut_lineage(
         found.groupBy("key").agg(F.min(place).alias("source"), F.max(place).alias("last"))
@@ -108,12 +114,12 @@ def merge_runs(matches: list[dict], run: int) -> list[dict]:
             and m["at"] <= last["last_line"] + 1
         )
         if follows:
-            last["last_line"] = max(last["last_line"], m["at"] + run - 1)
+            last["last_line"] = max(last["last_line"], m["at"] + m.get("size", run) - 1)
         else:
             out.append(
                 {
                     "first_line": m["at"],
-                    "last_line": m["at"] + run - 1,
+                    "last_line": m["at"] + m.get("size", run) - 1,
                     "source_id": m["source_id"],
                     "source_line": m["source_line"],
                 }
@@ -138,8 +144,9 @@ def without_runs(text: str, runs: list[dict]) -> tuple[str, int]:
     return ("\n".join(kept), left) if left else ("", 0)
 
 
-def dedupe_lines(docs: DataFrame, text: str = "text", row_id: str = "doc_id", run: int = RUN) -> DataFrame:
-    """``docs`` with ``text`` rid of later repeated runs, and what was found.
+def dedupe_lines(docs: DataFrame, text: str = "text", row_id: str = "doc_id", run: int = RUN, alone: int | None = None) -> DataFrame:
+    """``docs`` with ``text`` rid of later repeated runs, and of later repeated single
+    lines of ``alone`` words or more, if that is given; and what was found.
 
     Adds ``n_lines`` (non-empty lines before), ``n_deleted`` and ``runs`` (first and
     last deleted line, counted from 0 without empty lines, and where they stand
@@ -149,9 +156,13 @@ def dedupe_lines(docs: DataFrame, text: str = "text", row_id: str = "doc_id", ru
     tw.prepare(docs.sparkSession)
     if run < 1:
         raise ValueError("run must be at least 1")
-    matches = repeated_windows(docs, text, row_id, run)
+    if alone is not None and alone < 1:
+        raise ValueError("alone must be at least 1")
+    matches = repeated_windows(docs, text, row_id, run).withColumn("size", F.lit(run))
+    if alone is not None:
+        matches = matches.union(repeated_windows(docs, text, row_id, 1, alone).withColumn("size", F.lit(1)))
     matches = matches.groupBy("id", "body").agg(
-        F.collect_list(F.struct("at", "source_id", "source_line")).alias("found")
+        F.collect_list(F.struct("at", "source_id", "source_line", "size")).alias("found")
     )
     own = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_deleted", "runs")]
     fields = [T.StructField(f.name, f.dataType) for f in own]

@@ -38,3 +38,12 @@ def test_stages_keep_the_columns_and_act_on_all_rows(spark):
         else:
             assert rows == before
         docs, before = after, rows
+
+
+def test_a_long_line_that_repeats_between_other_lines_goes(spark):
+    line = lambda n: " ".join(f"w{k}" for k in range(n))
+    rows = [(i, f"first {i}\n{line(50)}\n{line(49)} {i}\n{line(49)}\nlast {i}", i) for i in range(3)] + [(9, line(50), 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    left = {r.doc_id: r.text for r in corpus_pipeline.delete_repeated_lines(spark, docs, SMALL).collect()}
+    assert set(left) == {0, 1, 2} and left[0] == rows[0][1]
+    assert all(left[i] == rows[i][1].replace(line(50) + "\n", "", 1) for i in (1, 2))
