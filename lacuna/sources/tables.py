@@ -71,6 +71,33 @@ def write_parquet(
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def write_bucketed(
+    df: DataFrame,
+    table: str,
+    keys: str | Sequence[str],
+    buckets: int,
+    path: str | None = None,
+    sort: Sequence[str] = (),
+) -> DataFrame:
+    """Store ``df`` as the catalog table ``table``, dealt into ``buckets`` by ``keys``, and
+    read it from there.
+
+    Joins and aggregates on exactly these keys need no exchange of the stored side.  Every
+    writing task adds a file to each bucket it has rows of, so deal the rows out by the keys
+    first unless a task holds few keys.  ``sort`` orders the rows of a file; with one file a
+    bucket a sort-merge join needs no sort either.  ``path`` keeps the files outside the
+    warehouse.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys)
+    if sort:
+        writer = writer.sortBy(*sort)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def read_window_file(spark: SparkSession, folder: str, days: int) -> DataFrame:
     """The extract of one window size, found by its name ``*_<days>_days_prior.parquet``;
     two extracts of that size are an error."""
