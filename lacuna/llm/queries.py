@@ -8,12 +8,28 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontam, labelled, linededup, minhash, pii, quality, secretscan, substrings, topk, toxicity
+from lacuna.llm import (
+    bpe,
+    decontam,
+    labelled,
+    lexical,
+    linededup,
+    minhash,
+    phrases,
+    pii,
+    quality,
+    secretscan,
+    substrings,
+    topk,
+    toxicity,
+    wordtable,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+VOCABULARY_FILE = "byte_bpe_50k.json"
 ACCEPT = 0.3  # a score from here on counts as label 1
 
 
@@ -117,3 +133,24 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     net = quality.train(docs, labels, labelled.remainder("doc_id", 5) != 0)
     return scored(quality.score(docs.select("doc_id", "text"), net), 5, 0)
+
+
+@query
+def op11_word_table(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(VOCABULARY_FILE)
+    encoded = wordtable.encode(table(spark, folder, "documents").select("doc_id", "text"), path)
+    ids = F.array_join(F.col("tokens").cast("array<string>"), ",")
+    digest = encoded.select("*", F.size("tokens").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"))
+    return wordtable.decode(digest, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.mine(table(spark, folder, "documents"))
+
+
+@query
+def op13_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -158,6 +158,17 @@ def pieces(part: Slice, separators: np.ndarray, lower: bool) -> Pieces:
     return Pieces(start, end, hashes, np.searchsorted(start, offsets).astype(np.int64))
 
 
+def strings(part: Slice, start: np.ndarray, end: np.ndarray, lower: bool = True) -> pa.StringArray:
+    """The byte ranges of a slice as text, A-Z lower-cased on request; the ranges begin
+    and end at characters."""
+    sizes = end - start
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    data = part.data[np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], sizes)]
+    if lower:
+        data = lower_table()[data]
+    return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
+
+
 def words(part: Slice, separators: np.ndarray = WHITE, lower: bool = True) -> Pieces:
     return pieces(part, separators, lower)
 
