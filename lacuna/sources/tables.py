@@ -78,6 +78,7 @@ def write_bucketed(
     buckets: int,
     path: str | None = None,
     sort: Sequence[str] = (),
+    compression: str = "zstd",
 ) -> DataFrame:
     """Store ``df`` as the catalog table ``table``, dealt into ``buckets`` by ``keys``, and
     read it from there.
@@ -89,7 +90,7 @@ def write_bucketed(
     warehouse.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys)
+    writer = df.write.mode("overwrite").format("parquet").option("compression", compression).bucketBy(buckets, *keys)
     if sort:
         writer = writer.sortBy(*sort)
     if path:
