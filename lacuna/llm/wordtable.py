@@ -2,10 +2,11 @@
 
 ``encode`` cuts every text into words and stores, in blocks of whole documents, each
 block's distinct words once and every document as numbers of its block's words.  The
-distinct words of all blocks make one table in which each word is encoded once.  A join on
-the word brings its ids to the blocks that hold it, a second one on the block brings them
-to their positions in the documents.  The stored blocks are bucketed by block, so the
-documents themselves are never shuffled: only words and their ids travel.
+blocks' words are then brought together by word: equal words stand next to each other and
+make one row of the table of distinct words, which is encoded once.  The ids go back by
+position: to the numbers of the blocks that hold the word, and in each block to its
+documents.  The stored blocks are bucketed by block, so the documents themselves are never
+shuffled: only words and their ids travel, a word once per block.
 
 ``decode`` joins the distinct ids of every batch of documents with the table of pieces,
 which is as long as the vocabulary, and puts the pieces at the ids' positions.
@@ -46,9 +47,10 @@ from lacuna.llm import textwork as tw
 from lacuna.session import new_path
 from lacuna.sources.tables import write_bucketed
 
-BLOCK_BYTES = 16 << 20
-PACK_ROWS = 100_000
-SHORT = 48  # bytes up to which a word is merged by scanning its pairs
+BLOCK_BYTES = 32 << 20
+LIST_WORDS = 4096  # words of a block in one stored row
+PACK_ROWS = 400_000
+SHORT = 200  # bytes up to which a word is merged by scanning its pairs
 OTHER, LETTER, NUMBER, SPACE = range(4)
 _BLOCK_BITS = 24
 
@@ -98,10 +100,9 @@ class Vocabulary:
         self.byte_ids = [0] * 256
         for char, byte in byte_of.items():
             self.byte_ids[byte] = self.vocab[char]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[self.vocab[left], self.vocab[right]] = (rank, self.vocab[left + right])
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+        self.ranks = {(self.vocab[a], self.vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [self.vocab[a + b] for a, b in pairs]
         longest_first = sorted(self.added, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
 
@@ -120,34 +121,39 @@ class Vocabulary:
         return self._scan(ids) if len(ids) <= SHORT else self._heap(ids)
 
     def _scan(self, ids: list[int]) -> list[int]:
-        merges = self.merges
-        while len(ids) > 1:
-            found = [merges[p] for p in zip(ids, ids[1:]) if p in merges]
-            if not found:
-                return ids
-            best = min(found)
-            at = [merges.get(p) for p in zip(ids, ids[1:])].index(best)
-            ids[at : at + 2] = [best[1]]
+        rank_of, none = self.ranks.get, len(self.made)
+        ranks = [rank_of(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
+                break
+            i = ranks.index(best)
+            ids[i] = self.made[best]
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank_of((ids[i - 1], ids[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank_of((ids[i], ids[i + 1]), none)
         return ids
 
     def _heap(self, ids: list[int]) -> list[int]:
         """The same for long words: pairs in a heap by (rank, place), neighbours linked."""
-        merges, n = self.merges, len(ids)
+        ranks, n = self.ranks, len(ids)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(merges[p][0], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
+        heap = [(ranks[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            rank, i, left, right = heapq.heappop(heap)
             j = after[i]
             if ids[i] != left or j >= n or ids[j] != right:
                 continue  # one of the two is merged meanwhile
-            ids[i], ids[j] = merges[left, right][1], -1
+            ids[i], ids[j] = self.made[rank], -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (ids[a], ids[b]) in merges:
-                    heapq.heappush(heap, (merges[ids[a], ids[b]][0], a, ids[a], ids[b]))
+                if a >= 0 and b < n and (ids[a], ids[b]) in ranks:
+                    heapq.heappush(heap, (ranks[ids[a], ids[b]], a, ids[a], ids[b]))
         return [i for i in ids if i >= 0]
 
 
@@ -274,19 +280,21 @@ def _cutter(packed: tuple[bytes, bytes], kept: int, schema: T.StructType) -> Cal
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k + 1) for k in range(kept)), pa.array(np.full(rows, number)), docs,
-                 pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int32())],
+                 pa.nulls(rows, pa.list_(pa.string())), pa.nulls(rows, pa.int32())],
                 schema.names,
             )
             done += rows
         types = [batches[0].column(k + 1).type for k in range(kept)]
-        for a in range(0, len(order), PACK_ROWS):
-            some = order[a : a + PACK_ROWS]
-            rows = len(some)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.nulls(rows, t) for t in types), pa.array(np.full(rows, number)), pa.nulls(rows, pa.binary()),
-                 found.dictionary.take(pa.array(some)), pa.array(np.arange(a, a + rows, dtype=np.int32))],
-                schema.names,
-            )
+        firsts = np.arange(0, len(order), LIST_WORDS, dtype=np.int32)
+        rows = len(firsts)
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.append(firsts, len(order)).astype(np.int32)), found.dictionary.take(pa.array(order))
+        )
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.nulls(rows, t) for t in types), pa.array(np.full(rows, number)), pa.nulls(rows, pa.binary()),
+             lists, pa.array(firsts)],
+            schema.names,
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocabulary(packed)
@@ -305,6 +313,25 @@ def _cutter(packed: tuple[bytes, bytes], kept: int, schema: T.StructType) -> Cal
     return run
 
 
+def _encoder(packed: tuple[bytes, bytes]) -> Callable:
+    """Ids of words that come in order, each distinct word encoded once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = vocabulary(packed).ids
+        last, of_last = None, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            words = batch.column("word").dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            encoded = [of_last if w == last else ids(w) for w in distinct]
+            last, of_last = distinct[-1], encoded[-1]
+            every = pa.array(encoded, pa.list_(pa.int32())).take(words.indices)
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("number"), every], ["block", "number", "ids"])
+
+    return lambda batches: _pack(run(batches))
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids of words by block in few rows: word numbers as gaps, ids per word, ids."""
 
@@ -383,8 +410,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "tokens",
             *own,
             T.StructField("block", T.LongType()),
             T.StructField("words", T.BinaryType()),
-            T.StructField("word", T.StringType()),
-            T.StructField("number", T.IntegerType()),
+            T.StructField("list", T.ArrayType(T.StringType())),
+            T.StructField("first", T.IntegerType()),
         ]
     )
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -393,16 +420,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "tokens",
         f"words_{uuid.uuid4().hex}", "block", buckets, path=new_path(spark, "words"),
     )
 
-    @F.arrow_udf("array<int>")
-    def encoded(words: pa.Array) -> pa.Array:
-        ids = vocabulary(packed).ids
-        return pa.array([ids(w) for w in words.to_pylist()], pa.list_(pa.int32()))
-
-    held = stored.where("word is not null").select("block", "number", "word")
-    distinct = held.select("word").distinct().select("word", encoded("word").alias("ids"))
-    known = held.join(distinct, "word").select("block", "number", "ids")
-    sent = known.mapInArrow(_pack, "block long, gaps binary, sizes binary, ids binary")
-    rows = stored.where("words is not null").drop("word", "number")
+    listed = stored.where("list is not null").select("block", "first", F.posexplode("list").alias("place", "word"))
+    by_word = listed.select("block", (F.col("first") + F.col("place")).alias("number"), "word").repartition(buckets, "word")
+    sent = by_word.sortWithinPartitions("word").mapInArrow(
+        _encoder(packed), "block long, gaps binary, sizes binary, ids binary"
+    )
+    rows = stored.where("words is not null").drop("list", "first")
     tokens = T.StructField("tokens", T.ArrayType(T.IntegerType()))
     out = T.StructType([*own, tokens])
     found = rows.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(
