@@ -8,10 +8,11 @@ the graph: a phrase occurs as often as weight flows out of the nodes that begin
 plus the places where a piece ends too early for an edge; these ends are counted as one
 short run per piece, of which all phrases inside it that begin there are corrections.
 
-A word below ``least`` occurrences in its language stands in no phrase that reaches
-``least``, so pieces are broken at such words before edges are counted: this changes no
-count of a candidate nor of its parts.  The words that reach it travel to the tasks as a
-bitmap of fixed size; a false hit in it keeps an edge that is dropped later by its count.
+A word, or a pair of neighbours, below ``least`` occurrences in its language stands in no
+phrase that reaches ``least``, so pieces are broken there before edges are counted: this
+changes no count of a candidate nor of its parts.  The words and pairs that reach it travel
+to the tasks as bitmaps of fixed size; a false hit in one keeps an edge that is dropped
+later by its count.
 
 Unary paths, whose inner nodes carry the weight of one edge in and one edge out and
 nothing else, are compacted: since every phrase that can be a candidate has weight of at
@@ -97,15 +98,37 @@ def count_words(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.max("mark").alias("mark"), F.sum("n").alias("n"))
 
 
-def count_edges(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def _joined(marks: np.ndarray, piece: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Which words are frequent, which of them have a frequent word of their piece next,
+    and the fingerprints of these pairs."""
+    kept = tw.in_bitmap(marks, frequent)
+    first = np.flatnonzero(kept[1:] & kept[:-1] & (piece[1:] == piece[:-1]))
+    return kept, first, tw.mix(marks[first] * np.uint64(3) + marks[first + 1])
+
+
+def count_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """Occurrences ``n`` of pairs of frequent neighbours by their fingerprint ``mark``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, _, piece, _, marks in _cut(batch):
+                pairs, n = np.unique(_joined(marks, piece, frequent)[2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(tw.signed(pairs)), pa.array(n)], ["mark", "n"])
+
+    return docs.mapInArrow(run, "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n"))
+
+
+def count_edges(docs: DataFrame, frequent: np.ndarray, pairs: np.ndarray) -> DataFrame:
     """Edges (runs of ``LONGEST`` words) and piece ends (the last words of a piece, fewer
-    than that) of pieces broken at infrequent words: ``lang``, ``gram``, ``size``, ``n``."""
+    than that) of pieces broken at infrequent words and pairs: ``lang``, ``gram``, ``size``,
+    ``n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for names, words, at, piece, code, marks in _cut(batch):
-                kept = tw.in_bitmap(marks, frequent)
-                same = kept[1:] & kept[:-1] & (piece[1:] == piece[:-1])
+                kept, first, found = _joined(marks, piece, frequent)
+                same = np.zeros(len(at) - 1, bool)
+                same[first[tw.in_bitmap(found, pairs)]] = True
                 breaks = np.flatnonzero(np.concatenate([[True], ~same, [True]]))
                 length = np.repeat(np.diff(breaks), np.diff(breaks))
                 place = np.arange(len(at)) - np.repeat(breaks[:-1], np.diff(breaks))
@@ -138,10 +161,10 @@ def _head(gram: str | Column, n: int) -> Column:
 
 
 def _begun(size: int) -> Column:
-    """The phrases a counted run of ``size`` words stands for: an edge for those that begin
-    at its first word, an end of a piece for those that begin at any of its words."""
+    """The phrases below ``LONGEST`` words a counted run of ``size`` words stands for: an edge
+    for those that begin at its first word, an end of a piece for those that begin at any."""
     rests = [F.col("gram")] if size == LONGEST else [F.substring_index("gram", " ", -k) for k in range(1, size + 1)]
-    lengths = [size] if size == LONGEST else range(1, size + 1)
+    lengths = [LONGEST - 1] if size == LONGEST else range(1, size + 1)
     return F.array(*[_head(rest, n) for rest, k in zip(rests, lengths) for n in range(1, k + 1)])
 
 
@@ -149,9 +172,9 @@ def phrase_counts(edges: DataFrame, least: int) -> DataFrame:
     """Occurrences ``f`` of all phrases of up to ``LONGEST`` words from ``least`` on, by flow."""
     phrases = F.coalesce(*[F.when(F.col("size") == size, _begun(size)) for size in range(1, LONGEST + 1)])
     flow = edges.select("lang", F.explode(phrases).alias("phrase"), "n")
-    return flow.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least).withColumn(
-        "size", F.size(F.split("phrase", " "))
-    )
+    shorter = flow.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    longest = edges.where(F.col("size") == LONGEST).select("lang", F.col("gram").alias("phrase"), F.col("n").alias("f"))
+    return longest.unionByName(shorter).where(F.col("f") >= least).withColumn("size", F.size(F.split("phrase", " ")))
 
 
 def unary_paths(counts: DataFrame) -> DataFrame:
@@ -204,7 +227,9 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     pieces = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
     words = cut_lineage(count_words(pieces))
     frequent = tw.bitmap(words.where(F.col("n") >= least).select("mark"))
-    counts = cut_lineage(phrase_counts(count_edges(pieces, frequent), least))
+    pairs = tw.bitmap(count_pairs(pieces, frequent).where(F.col("n") >= least).select("mark"))
+    edges = cut_lineage(count_edges(pieces, frequent, pairs))
+    counts = cut_lineage(phrase_counts(edges, least))
     paths = cut_lineage(unary_paths(counts))
 
     inside = F.transform(
@@ -214,16 +239,16 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     whole = F.transform(
         F.sequence(F.lit(1), F.size("path") - LONGEST + 1), lambda i: F.array_join(F.slice("path", i, LONGEST), " ")
     )
-    edges = paths.select("lang", F.explode(whole).alias("phrase"), "f", F.lit(LONGEST).alias("size"))
+    longest = paths.select("lang", F.explode(whole).alias("phrase"), "f", F.lit(LONGEST).alias("size"))
     shorter = counts.where((F.col("size") > 1) & (F.col("size") < LONGEST))
     # all phrases that hold a phrase hold it inside one that is a word longer and no rarer
-    around = edges.unionByName(shorter.where("size > 2")).select(
+    around = longest.unionByName(shorter.where("size > 2")).select(
         "lang", "f", F.explode(F.array(_span(1, F.col("size") - 1), _span(2, F.col("size") - 1))).alias("phrase")
     )
     swallow = around.groupBy("lang", "phrase").agg(F.max("f").alias("most"))
     own = shorter.join(inner, ["lang", "phrase"], "left_anti").join(swallow, ["lang", "phrase"], "left")
     own = own.where(F.col("most").isNull() | (100 * F.col("most") < SWALLOWED * F.col("f"))).drop("most")
-    candidates = own.unionByName(edges)
+    candidates = own.unionByName(longest)
 
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1))).select(
         "lang", "phrase", "f", "k",
