@@ -40,7 +40,7 @@ from lacuna.llm import textwork as tw
 from lacuna.session import cut_lineage
 
 LENGTH_SHARE = 75  # of 100: how much a document's length counts
-SHARD_POSTINGS = 3_000_000
+SHARD_POSTINGS = 1_000_000
 ITEM_BLOCK = 20_000  # items searched together
 FIRST_STEP, GROWTH = 64, 4
 _ROW_BITS = 40
