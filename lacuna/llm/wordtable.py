@@ -47,7 +47,8 @@ from lacuna.llm import textwork as tw
 from lacuna.session import new_path
 from lacuna.sources.tables import write_bucketed
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
+SLICE_CODES = 1 << 20  # bytes of word numbers that are put together at a time
 LIST_WORDS = 4096  # words of a block in one stored row
 PACK_ROWS = 400_000
 SHORT = 200  # bytes up to which a word is merged by scanning its pairs
@@ -266,18 +267,16 @@ def _cutter(packed: tuple[bytes, bytes], kept: int, schema: T.StructType) -> Cal
         found = pa.concat_arrays(words).dictionary_encode() if words else pa.array([], pa.string()).dictionary_encode()
         code = found.indices.to_numpy()
         order = np.argsort(-np.bincount(code, minlength=len(found.dictionary)), kind="stable")
-        number_of = np.empty(len(order), np.int64)
+        number_of = np.empty(len(order), np.int32)
         number_of[order] = np.arange(len(order))  # frequent words get small numbers
-        data, at = to_varints(number_of[code])
-        bounds = at[np.concatenate(per_doc)]
+        word_at = np.concatenate(per_doc)
         done = 0
         for batch in batches:
-            edge = bounds[done : done + batch.num_rows + 1]
-            docs = pa.BinaryArray.from_buffers(
-                pa.binary(), batch.num_rows,
-                [None, pa.py_buffer((edge - edge[0]).astype(np.int32)), pa.py_buffer(data[edge[0] : edge[-1]])],
-            )
+            own_words = word_at[done : done + batch.num_rows + 1]
+            data, at = to_varints(number_of[code[own_words[0] : own_words[-1]]])
+            edges = at[own_words - own_words[0]].astype(np.int32)
             rows = batch.num_rows
+            docs = pa.BinaryArray.from_buffers(pa.binary(), rows, [None, pa.py_buffer(edges), pa.py_buffer(data)])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k + 1) for k in range(kept)), pa.array(np.full(rows, number)), docs,
                  pa.nulls(rows, pa.list_(pa.string())), pa.nulls(rows, pa.int32())],
@@ -381,14 +380,21 @@ def _gatherer(kept: int, into_at: int, schema: pa.Schema) -> Callable:
         begin, length = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
         begin[number], length[number] = np.cumsum(size) - size, size
         data, bounds = _flat(docs["words"])
-        words = from_varints(data)
-        # a document's words end where its bytes do
-        ends = np.concatenate([[0], np.cumsum(data < 128)])[bounds]
-        count = length[words]
-        tokens = flat[_ranges(begin[words], count)].astype(np.int32)
-        offsets = np.concatenate([[0], np.cumsum(count)])[ends].astype(np.int32)
+        parts, first = [], 0
+        while first < docs.num_rows:
+            last = int(np.searchsorted(bounds, bounds[first] + SLICE_CODES, "right")) - 1
+            last = min(max(last, first + 1), docs.num_rows)
+            own = data[bounds[first] : bounds[last]]
+            words = from_varints(own)
+            # a document's words end where its bytes do
+            ends = np.concatenate([[0], np.cumsum(own < 128)])[bounds[first : last + 1] - bounds[first]]
+            count = length[words]
+            tokens = flat[_ranges(begin[words], count)].astype(np.int32)
+            offsets = np.concatenate([[0], np.cumsum(count)])[ends].astype(np.int32)
+            parts.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens)))
+            first = last
         columns: list = [docs[f"c{k}"] for k in range(kept)]
-        columns.insert(into_at, pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens)))
+        columns.insert(into_at, pa.chunked_array(parts))
         return pa.Table.from_arrays(columns, schema=schema)
 
     return gather
