@@ -7,6 +7,7 @@ that run occurs.  Only edges are counted in the texts.  Every shorter count foll
 the graph: a phrase occurs as often as weight flows out of the nodes that begin with it,
 plus the places where a piece ends too early for an edge; these ends are counted as one
 short run per piece, of which all phrases inside it that begin there are corrections.
+Single words are counted first, for the total and for the pruning below.
 
 A word, or a pair of neighbours, below ``least`` occurrences in its language stands in no
 phrase that reaches ``least``, so pieces are broken there before edges are counted: this
@@ -78,24 +79,27 @@ def hash_name(name: str) -> int:
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """Occurrences ``n`` of every (``lang``, ``word``), and the pair's fingerprint."""
+    """Occurrences ``n`` of every (``lang``, ``word``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for names, words, at, _, code, marks in _cut(batch):
-                pairs, first, n = np.unique(code * len(words) + at, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        names.take(pa.array(pairs // len(words))),
-                        words.take(pa.array(pairs % len(words))),
-                        pa.array(tw.signed(marks[first])),
-                        pa.array(n),
-                    ],
-                    ["lang", "word", "mark", "n"],
-                )
-
-    counted = docs.mapInArrow(run, "lang string, word string, mark long, n long")
-    return counted.groupBy("lang", "word").agg(F.max("mark").alias("mark"), F.sum("n").alias("n"))
+            for names, words, at, _, code, _ in _cut(batch):
+                pairs, n = np.unique(code * len(words) + at, return_counts=True)
+                lang, word = names.take(pa.array(pairs // len(words))), words.take(pa.array(pairs % len(words)))
+                yield pa.RecordBatch.from_arrays([lang, word, pa.array(n)], ["lang", "word", "n"])
+
+    return docs.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def word_marks(words: DataFrame) -> DataFrame:
+    """The fingerprint ``mark`` of each row's word in its language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for *_, marks in _cut(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(tw.signed(marks))], ["mark"])
+
+    return words.select("lang", F.col("word").alias("text")).mapInArrow(run, "mark long")
 
 
 def _joined(marks: np.ndarray, piece: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -107,21 +111,23 @@ def _joined(marks: np.ndarray, piece: np.ndarray, frequent: np.ndarray) -> tuple
 
 
 def count_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Occurrences ``n`` of pairs of frequent neighbours by their fingerprint ``mark``."""
+    """Occurrences ``n`` of pairs of frequent neighbours by 32 bits of their fingerprint;
+    pairs that share these bits are kept together, so none is lost."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, _, piece, _, marks in _cut(batch):
-                pairs, n = np.unique(_joined(marks, piece, frequent)[2], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(tw.signed(pairs)), pa.array(n)], ["mark", "n"])
+                low = _joined(marks, piece, frequent)[2].astype(np.uint32).view(np.int32)
+                pairs, n = np.unique(low, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["mark", "n"])
 
-    return docs.mapInArrow(run, "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(run, "mark int, n long").groupBy("mark").agg(F.sum("n").alias("n"))
 
 
 def count_edges(docs: DataFrame, frequent: np.ndarray, pairs: np.ndarray) -> DataFrame:
     """Edges (runs of ``LONGEST`` words) and piece ends (the last words of a piece, fewer
     than that) of pieces broken at infrequent words and pairs: ``lang``, ``gram``, ``size``,
-    ``n``."""
+    ``n``.  A piece of one word holds no phrase: single words are counted on their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,7 +139,7 @@ def count_edges(docs: DataFrame, frequent: np.ndarray, pairs: np.ndarray) -> Dat
                 length = np.repeat(np.diff(breaks), np.diff(breaks))
                 place = np.arange(len(at)) - np.repeat(breaks[:-1], np.diff(breaks))
                 ahead = length - place  # words from here to the end of the run
-                for size in range(1, LONGEST + 1):
+                for size in range(2, LONGEST + 1):
                     if size == LONGEST:
                         starts = np.flatnonzero(kept & (ahead >= LONGEST))
                     else:  # one end per run: its last LONGEST - 1 words, or all of it
@@ -145,8 +151,7 @@ def count_edges(docs: DataFrame, frequent: np.ndarray, pairs: np.ndarray) -> Dat
                         _, key = np.unique(key * len(words) + at[starts + k], return_inverse=True)
                     _, first, n = np.unique(key, return_index=True, return_counts=True)
                     chosen = starts[first]
-                    parts = [words.take(pa.array(at[chosen + k])) for k in range(size)]
-                    gram = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, " ")
+                    gram = pc.binary_join_element_wise(*(words.take(pa.array(at[chosen + k])) for k in range(size)), " ")
                     yield pa.RecordBatch.from_arrays(
                         [names.take(pa.array(code[chosen])), gram, pa.array(np.full(len(n), size, np.int32)), pa.array(n)],
                         ["lang", "gram", "size", "n"],
@@ -163,14 +168,14 @@ def _head(gram: str | Column, n: int) -> Column:
 def _begun(size: int) -> Column:
     """The phrases below ``LONGEST`` words a counted run of ``size`` words stands for: an edge
     for those that begin at its first word, an end of a piece for those that begin at any."""
-    rests = [F.col("gram")] if size == LONGEST else [F.substring_index("gram", " ", -k) for k in range(1, size + 1)]
-    lengths = [LONGEST - 1] if size == LONGEST else range(1, size + 1)
-    return F.array(*[_head(rest, n) for rest, k in zip(rests, lengths) for n in range(1, k + 1)])
+    rests = [F.col("gram")] if size == LONGEST else [F.substring_index("gram", " ", -k) for k in range(2, size + 1)]
+    lengths = [LONGEST - 1] if size == LONGEST else range(2, size + 1)
+    return F.array(*[_head(rest, n) for rest, k in zip(rests, lengths) for n in range(2, k + 1)])
 
 
 def phrase_counts(edges: DataFrame, least: int) -> DataFrame:
-    """Occurrences ``f`` of all phrases of up to ``LONGEST`` words from ``least`` on, by flow."""
-    phrases = F.coalesce(*[F.when(F.col("size") == size, _begun(size)) for size in range(1, LONGEST + 1)])
+    """Occurrences ``f`` of all phrases of 2 to ``LONGEST`` words from ``least`` on, by flow."""
+    phrases = F.coalesce(*[F.when(F.col("size") == size, _begun(size)) for size in range(2, LONGEST + 1)])
     flow = edges.select("lang", F.explode(phrases).alias("phrase"), "n")
     shorter = flow.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
     longest = edges.where(F.col("size") == LONGEST).select("lang", F.col("gram").alias("phrase"), F.col("n").alias("f"))
@@ -226,10 +231,13 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     tw.prepare(spark)
     pieces = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
     words = cut_lineage(count_words(pieces))
-    frequent = tw.bitmap(words.where(F.col("n") >= least).select("mark"))
-    pairs = tw.bitmap(count_pairs(pieces, frequent).where(F.col("n") >= least).select("mark"))
+    single = words.where(F.col("n") >= least)
+    frequent = tw.bitmap(word_marks(single))
+    pairs = tw.bitmap(count_pairs(pieces, frequent).where(F.col("n") >= least).select(F.col("mark").cast("long")))
     edges = cut_lineage(count_edges(pieces, frequent, pairs))
-    counts = cut_lineage(phrase_counts(edges, least))
+    longer = phrase_counts(edges, least)
+    alone = single.select("lang", F.col("word").alias("phrase"), F.col("n").alias("f"), F.lit(1).alias("size"))
+    counts = cut_lineage(longer.unionByName(alone))
     paths = cut_lineage(unary_paths(counts))
 
     inside = F.transform(
