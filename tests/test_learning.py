@@ -266,3 +266,36 @@ def test_experiment_end_to_end(spark, tmp_path):
     assert {r.metric for r in experiment.summarise(found, config).collect()} == {"recall", "precision"}
     with pytest.raises(ValueError):
         experiment.labels_of(labs, ExperimentConfig(label="race"))
+
+
+def test_knn_rules_out_far_blocks_and_keeps_ties(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.uniform(-1000, 1000, (12, 6))
+    cells = np.round(np.repeat(centres, 50, axis=0) + rng.normal(0, 1, (600, 6)), 1)
+    cells[::7, 2] = np.nan
+    cells[1::50] = cells[2::50]  # equal rows: the smaller key wins
+    rows = {f"k{i:03d}": [None if np.isnan(x) else float(x) for x in row] for i, row in enumerate(cells)}
+    donors = {k: v for k, v in rows.items() if int(k[1:]) % 3}
+    df = spark.createDataFrame(list(rows.items()), "hadm_id string, values array<double>")
+    tiles: list[int] = []
+    pool = df.filter("int(substring(hadm_id, 2)) % 3 <> 0")
+    found = {r.hadm_id: r["values"] for r in impute.knn_impute(df, pool, k=3, block_rows=20, report=tiles).collect()}
+    # string keys of one length sort as their numbers
+    expected = brute_knn({k: v for k, v in rows.items() if None in v}, donors, 3)
+    for key, values in expected.items():
+        assert found[key] == pytest.approx(values, abs=1e-9)
+    assert found.keys() == rows.keys() and tiles[0] < tiles[1] / 4
+
+
+def test_box_distance_is_a_lower_bound():
+    rng = np.random.default_rng(9)
+
+    def box(x):
+        seen = ~np.isnan(x)
+        return np.where(seen, x, np.inf).min(0), np.where(seen, x, -np.inf).max(0), seen.all(0)
+
+    for share in (0.0, 0.2, 0.6):
+        for _ in range(100):
+            a, b = (rng.normal(c, 1, (4, 5)) for c in (0, 3))
+            a[rng.random(a.shape) < share], b[rng.random(b.shape) < share] = np.nan, np.nan
+            assert np.sqrt(impute.lowest_distance(*box(a), *box(b))) <= impute._distances(a, b).min() + 1e-8
