@@ -56,6 +56,10 @@ def days_truncated(start: Column, end: Column) -> Column:
     return (elapsed_micros(start, end) / F.lit(86_400_000_000)).cast("int")
 
 
+def days_earlier(end: Column, days: int) -> Column:
+    return end - F.make_dt_interval(days=F.lit(days))
+
+
 def look_back(end: Column, at: Column, days: int) -> Column:
     """True when ``at`` lies in the ``days`` before ``end``, both ends included."""
-    return at.between(end - F.make_dt_interval(days=F.lit(days)), end)
+    return at.between(days_earlier(end, days), end)

@@ -44,14 +44,45 @@ def labs_of_cohort(labs: DataFrame, cohort: DataFrame) -> DataFrame:
     return labs.join(cohort.select(*KEYS), KEYS, "left_semi")
 
 
-def labs_in_window(cohort: DataFrame, labs: DataFrame, days: int = 7) -> DataFrame:
-    """Labs of the cohort charted in the ``days`` before discharge (inclusive)."""
-    span = cohort.select(*KEYS, "dischtime", "target")
-    return (
-        labs.select(*LAB_COLUMNS)
-        .join(span, KEYS)
-        .filter(timing.look_back(F.col("dischtime"), F.col("charttime"), days))
-    )
+def _by_day(people: DataFrame, days: int, timeless: bool) -> DataFrame:
+    """A row per person and calendar day of the window, in ``_day``, and one with a null day
+    if ``timeless``."""
+    first, last = F.to_date(timing.days_earlier(F.col("dischtime"), days)), F.to_date("dischtime")
+    span = F.coalesce(F.sequence(first, last), F.array().cast("array<date>"))
+    if timeless:
+        span = F.concat(span, F.array(F.lit(None).cast("date")))
+    return people.withColumn("_day", F.explode(span))
+
+
+def _in_window(people: DataFrame, labs: DataFrame, days: int, day: str | None, timeless: bool = False) -> DataFrame:
+    """Labs charted in the window of their admission, with ``timeless`` also those without a
+    chart time; joined on the keys and the day.
+
+    With the day in the key, the rows of one admission are dealt out over its days, also
+    where no skew is detected.  ``day`` names a column of ``labs`` that holds the chart
+    time's date, best one the table is partitioned by: then the days no window of the cohort
+    touches are not read.
+    """
+    date = F.to_date("charttime")
+    if day is not None:
+        first = people.agg(F.to_date(timing.days_earlier(F.min("dischtime"), days))).scalar()
+        touched = F.col(day).between(first, people.agg(F.to_date(F.max("dischtime"))).scalar())
+        labs = labs.where(touched | F.col(day).isNull() if timeless else touched)
+        date = F.col(day)
+    dated = labs.select(*LAB_COLUMNS, date.alias("_lab_day"))
+    spans = _by_day(people, days, timeless).withColumnsRenamed({k: f"_{k}" for k in KEYS})
+    same = [F.col(k) == F.col(f"_{k}") for k in KEYS]
+    same.append(F.col("_lab_day").eqNullSafe(F.col("_day")) if timeless else F.col("_lab_day") == F.col("_day"))
+    inside = timing.look_back(F.col("dischtime"), F.col("charttime"), days)
+    if timeless:
+        inside = F.col("charttime").isNull() | inside
+    return dated.join(spans, same).filter(inside).drop("_day", "_lab_day", *[f"_{k}" for k in KEYS])
+
+
+def labs_in_window(cohort: DataFrame, labs: DataFrame, days: int = 7, day: str | None = None) -> DataFrame:
+    """Labs of the cohort charted in the ``days`` before discharge (inclusive); ``day`` may
+    name the column of their date that the lab table is partitioned by."""
+    return _in_window(cohort.select(*KEYS, "dischtime", "target"), labs, days, day)
 
 
 def extract_labs(
@@ -61,6 +92,7 @@ def extract_labs(
     carry: Sequence[str] = ("dischtime", "target", "gender", "anchor_age", "race"),
     preserve_all: bool = False,
     distinct: bool = True,
+    day: str | None = None,
 ) -> DataFrame:
     """Labs in the window plus labs without a chart time, one null row for every
     cohort admission that has no lab at all.
@@ -68,14 +100,10 @@ def extract_labs(
     An admission whose labs all lie outside the window disappears unless
     ``preserve_all`` is set.  An outer join would pin each admission's labs to
     one task; the inner join plus the admissions without a match gives the same
-    rows and leaves the lab side splittable.
+    rows and leaves the lab side splittable.  ``day`` as in ``labs_in_window``.
     """
     people = cohort.select(*KEYS, *carry)
-    measured = labs.select(*LAB_COLUMNS).join(people, KEYS)
-    kept = measured.filter(
-        F.col("charttime").isNull()
-        | timing.look_back(F.col("dischtime"), F.col("charttime"), days)
-    )
+    kept = _in_window(people, labs, days, day, timeless=True)
     matched = kept if preserve_all else labs
     unmatched = people.join(matched.select(*KEYS).distinct(), KEYS, "left_anti")
     rows = kept.select(*KEYS, *carry, "itemid", "charttime", "valuenum").unionByName(

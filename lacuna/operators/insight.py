@@ -146,7 +146,7 @@ def cooccurrence(
         .groupBy("hadm_id", "bin")
         .agg(F.collect_set("itemid").alias("found"))
     )
-    index = {item: i for i, item in enumerate(items)}
+    ordered, column = np.sort(items), np.argsort(items, kind="stable")
 
     def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((len(items), len(items)))
@@ -154,7 +154,7 @@ def cooccurrence(
             lengths = batch["found"].str.len()
             found = np.concatenate(batch["found"].to_numpy())
             mask = np.zeros((len(batch), len(items)))
-            mask[np.repeat(np.arange(len(batch)), lengths), [index[i] for i in found]] = 1
+            mask[np.repeat(np.arange(len(batch)), lengths), column[np.searchsorted(ordered, found)]] = 1
             total += mask.T @ mask
         a, b = np.nonzero(np.triu(total))
         ids, together = np.asarray(items), total[a, b].astype("int64")

@@ -7,7 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lacuna.functions import codes
-from lacuna.operators.lookup import map_of, set_of
+from lacuna.operators.lookup import attach, matching
+from lacuna.session import cut_lineage
+
+MOST_LABELS = 10_000
 
 
 def item_stats(labs: DataFrame) -> DataFrame:
@@ -32,7 +35,7 @@ def select_items(stats: DataFrame, npoints: float = 5, minfreq: float = 0.75) ->
 
 def keep_items(labs: DataFrame, selected: DataFrame) -> DataFrame:
     """Labs of the selected items (a part of the item dictionary)."""
-    return labs.filter(F.array_contains(set_of(selected, "itemid"), F.col("itemid")))
+    return matching(labs, selected, "itemid")
 
 
 def top_items(stats: DataFrame, by: str = "count", n: int | None = None) -> DataFrame:
@@ -51,22 +54,20 @@ def zscore(labs: DataFrame, value: str = "valuenum", population: bool = False) -
     """Standardise per item on observed values; constant items and NaN give null."""
     labs = labs.withColumn(value, F.when(~F.isnan(value), F.col(value)))
     sd = F.stddev_pop(value) if population else F.stddev_samp(value)
-    stats = labs.groupBy("itemid").agg(F.avg(value).alias("mean"), sd.alias("sd"))
-    per_item = map_of(stats, "itemid", F.struct("mean", "sd"))
+    stats = labs.groupBy("itemid").agg(F.struct(F.avg(value).alias("mean"), sd.alias("sd")).alias("_s"))
     spread = F.when(F.col("_s.sd") != 0, F.col("_s.sd"))
-    return (
-        labs.withColumn("_m", per_item)
-        .withColumn("_s", F.try_element_at("_m", F.col("itemid")))
-        .withColumn("z", (F.col(value) - F.col("_s.mean")) / spread)
-        .drop("_m", "_s")
-    )
+    z = (F.col(value) - F.col("_s.mean")) / spread
+    return attach(labs, stats, "itemid").select(*labs.columns, z.alias("z"))
 
 
 def encode_labels(df: DataFrame, label: str, name: str) -> DataFrame:
-    """Code of each label: its rank among the sorted labels present.  The labels
-    are categories (a handful), held as one array."""
-    labels = df.agg(F.array_sort(F.collect_set(label))).scalar()
-    return df.withColumn(name, (F.array_position(labels, F.col(label)) - 1).cast("int"))
+    """Code of each label: its rank among the sorted labels present.  Labels are
+    categories: more than ``MOST_LABELS`` different ones are an error."""
+    present = cut_lineage(df.select(label).where(F.col(label).isNotNull()).distinct())
+    if present.count() > MOST_LABELS:
+        raise ValueError(f"column {label!r} has more than {MOST_LABELS} labels")
+    codes_of = present.withColumn(name, F.row_number().over(W.orderBy(label)) - 1)
+    return attach(df.drop(name), codes_of, label)
 
 
 def label_column(kind: str, age_threshold: int = 30, insurance: str = "Private") -> Column:

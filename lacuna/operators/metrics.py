@@ -23,6 +23,12 @@ def _known(score: str) -> Column:
     return F.when(value.isNull() | F.isnan(value), missing).otherwise(value)
 
 
+def _labelled(label: str) -> Column:
+    """The label; a missing one is an error in every metric."""
+    missing = F.raise_error(F.lit(f"column {label!r} holds a null label")).cast("int")
+    return F.when(F.col(label).isNull(), missing).otherwise(F.col(label))
+
+
 def confusion(
     df: DataFrame,
     label: str = "target",
@@ -31,7 +37,7 @@ def confusion(
     within: Sequence[str] = (),
 ) -> DataFrame:
     """Counts at the threshold and the ratios derived from them."""
-    actual, called = F.col(label) == 1, _known(score) >= threshold
+    actual, called = _labelled(label) == 1, _known(score) >= threshold
     counts = df.groupBy(*within).agg(
         F.count_if(actual & called).alias("tp"),
         F.count_if(~actual & called).alias("fp"),
@@ -52,7 +58,7 @@ def confusion(
 def _by_score(df: DataFrame, label: str, score: str, within: Sequence[str]) -> DataFrame:
     """Per distinct score: positives and negatives, their running totals and the
     group totals.  The counts are stored, so the scored rows are read once."""
-    actual = F.col(label)
+    actual = _labelled(label)
     counted = df.withColumn(score, _known(score)).groupBy(*within, score).agg(
         F.count_if(actual == 1).alias("pos"), F.count_if(actual == 0).alias("neg")
     )
@@ -105,7 +111,7 @@ def calibration(
     df: DataFrame, label: str = "target", score: str = "score", bins: int = 10
 ) -> DataFrame:
     """Mean score, observed rate and Brier score per score bin of equal width."""
-    df = df.withColumn(score, _known(score))
+    df = df.withColumns({score: _known(score), label: _labelled(label)})
     index = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
     error = F.col(score) - F.col(label)
     return df.groupBy(index.alias("score_bin")).agg(
@@ -129,6 +135,7 @@ def conformal_sets(
     The cut is the ceil((n + 1)(1 - alpha))-th smallest value of 1 - p(true label)
     on the calibration rows; with too few of them every label is kept.
     """
+    df = df.withColumns({score: _known(score), label: _labelled(label)})
     p_true = F.when(F.col(label) == 1, F.col(score)).otherwise(1 - F.col(score))
     scores = df.filter(calibrate).select((1 - p_true).alias("cut"))
     found = order_statistic(scores, "cut", lambda n: F.ceil((n + 1) * (1 - alpha)))

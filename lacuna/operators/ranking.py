@@ -1,4 +1,4 @@
-"""Global numbering and running totals without a single-task sort.
+"""Global numbering, running totals and order statistics without a single-task sort.
 
 A window without PARTITION BY sends every row to one task.  Here rows are first
 stored in range partitions of about equal size; the totals per partition (a small
@@ -79,11 +79,54 @@ def with_running_totals(
     return rows.join(offsets, same).select(*df.columns, *running, *[f"tot_{c}" for c in sums])
 
 
-def _counted(df: DataFrame, value: str, within: Sequence[str]) -> DataFrame:
-    """Distinct values with their running count ``cum_w`` and group size ``tot_w``."""
-    known = df.filter(F.col(value).isNotNull())
-    counted = known.groupBy(*within, value).agg(F.count(F.lit(1)).alias("w"))
-    return with_running_totals(counted, value, ["w"], within)
+FINE = 4096  # equal parts of a range of values in one step
+PER_OCTAVE = 16  # parts of a doubling in the first step
+
+
+def _magnitude(x: Column) -> Column:
+    """Coarse cell of a value by sign and magnitude, falling nowhere as the value grows."""
+    size = F.floor(F.least(F.log2(F.abs(x)), F.lit(1025.0)) * PER_OCTAVE) + 2048 * PER_OCTAVE  # also infinity
+    return F.when(x > 0, size).when(x < 0, -size).otherwise(F.lit(0).cast("long"))
+
+
+def _by_refinement(
+    df: DataFrame, value: str, ranks: Callable[[Column], Column], within: Sequence[str]
+) -> DataFrame:
+    """The values of the given ranks per group: the columns of ``within``, ``which`` (place in
+    the array that ``ranks`` makes of the group's size) and ``found``.
+
+    The values are stored once.  A step cuts the range that holds a rank into cells, counts
+    the values of each with their least and greatest (sums combined before anything is
+    sent), and keeps the cell the rank falls into, until that cell holds one value only.  The first step
+    goes by magnitude, so that outliers cost no step; each later one divides the range of
+    what is left by ``FINE``.  No value is sorted or sent.
+    """
+    keys = [f"_g{k}" for k in range(max(len(within), 1))]
+    groups = [F.col(c).alias(k) for c, k in zip(within, keys)] or [F.lit(0).alias(keys[0])]
+    values = cut_lineage(df.where(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_x")))
+    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    asked = sizes.select(*keys, "n", "lo", "hi", F.posexplode(ranks(F.col("n"))).alias("which", "rank"))
+    known = F.col("rank").between(1, F.col("n"))
+    bounded = asked.withColumns({c: F.when(known, F.col(c)) for c in ("lo", "hi")})
+    state, first = cut_lineage(bounded.drop("n")), True
+    while not state.where("lo < hi").isEmpty():
+        unsettled = state.where("lo < hi").toDF(*[f"_s{k}" for k in range(len(keys))], *state.columns[len(keys) :])
+        same = (F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi"))
+        for k, key in enumerate(keys):
+            same &= F.col(key).eqNullSafe(F.col(f"_s{k}"))
+        part = (F.col("_x") - F.col("lo")).cast("double") / (F.col("hi") - F.col("lo")).cast("double")
+        cell = _magnitude(F.col("_x").cast("double")) if first else F.floor(part * FINE)
+        counted = (
+            values.join(unsettled, same)
+            .groupBy(*keys, "which", "rank", cell.alias("cell"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+        )
+        below = F.coalesce(F.sum("n").over(W.partitionBy(*keys, "which").orderBy("cell").rowsBetween(*BEFORE)), F.lit(0))
+        chosen = counted.withColumn("below", below).where("below < rank and rank <= below + n")
+        narrowed = chosen.select(*keys, "lo", "hi", "which", (F.col("rank") - F.col("below")).alias("rank"))
+        state = cut_lineage(narrowed.unionByName(state.where("not coalesce(lo < hi, false)")))
+        first = False
+    return state.select(*[F.col(k).alias(c) for k, c in zip(keys, within)], "which", F.col("lo").alias("found"))
 
 
 def order_statistic(
@@ -91,18 +134,14 @@ def order_statistic(
 ) -> DataFrame:
     """The ``rank``-th smallest value (1-based) of each group.
 
-    ``rank`` maps the group size to the rank.  Equal values are counted before
-    anything is ordered.  Null when the rank exceeds the size.
+    ``rank`` maps the group size to the rank.  Null when the rank exceeds the size.
     """
-    reached = F.col("cum_w") >= rank(F.col("tot_w"))
-    return _counted(df, value, within).groupBy(*within).agg(
-        F.min(F.when(reached, F.col(value))).alias(value)
-    )
+    found = _by_refinement(df, value, lambda n: F.array(rank(n).cast("long")), within)
+    return found.groupBy(*within).agg(F.min("found").alias(value))
 
 
 def median(df: DataFrame, value: str, within: Sequence[str] = (), name: str = "median") -> DataFrame:
     """Exact median (mean of the two middle values) of each group."""
-    n, reached = F.col("tot_w"), F.col("cum_w")
-    lower = F.min(F.when(reached >= F.floor((n + 1) / 2), F.col(value)))
-    upper = F.min(F.when(reached >= F.floor(n / 2) + 1, F.col(value)))
-    return _counted(df, value, within).groupBy(*within).agg(((lower + upper) / 2).alias(name))
+    middle = lambda n: F.array(F.floor((n + 1) / 2), F.floor(n / 2) + 1)
+    found = _by_refinement(df, value, middle, within)
+    return found.groupBy(*within).agg(((F.min("found") + F.max("found")) / 2).alias(name))

@@ -75,59 +75,58 @@ def xmd_irregular(labs: DataFrame, items: Sequence[int], segment_hours: float =
     An admission may have any number of chart times, so its steps are cut into
     time segments: windows run inside a segment, and the step count, the first
     time and each item's last observation before the segment are carried in from
-    a table with one row per segment (and item).
+    a table with one row per segment.  Everything happens on the sparse steps, an
+    array slot per item; they are exploded into cells last, where nothing is
+    shuffled any more.
     """
     timed = with_bins(labs).withColumn("t", -F.col("hours"))
-    # the filter holds for every row; stated here, all three uses of the steps have
-    # the same plan and share one shuffle
+    # the filter holds for every row; stated here, both uses of the steps have the
+    # same plan and share one shuffle
     steps = (
         _cells(timed, "charttime", "t")
         .withColumn("segment", F.floor(F.col("t") / segment_hours))
         .filter(F.col("segment").isNotNull() & F.col("hadm_id").isNotNull())
     )
 
+    def observed(item: int) -> Column:
+        return F.when(F.map_contains_key("cells", F.lit(item)), F.col("t"))
+
     part = ["hadm_id", "segment"]
     by_segment = W.partitionBy("hadm_id").orderBy("segment")
     earlier_segments = by_segment.rowsBetween(W.unboundedPreceding, -1)
+    latest = [f"_last{k}" for k in range(len(items))]
     summary = steps.groupBy(*part).agg(
-        F.count_if(F.size("cells") > 0).alias("n"), F.min("t").alias("segment_start")
+        F.count_if(F.size("cells") > 0).alias("n"),
+        F.min("t").alias("segment_start"),
+        *[F.max(observed(item)).alias(c) for c, item in zip(latest, items)],
     )
     segments = summary.select(
         *part,
         F.coalesce(F.sum("n").over(earlier_segments), F.lit(0)).alias("steps_before"),
         F.min("segment_start").over(W.partitionBy("hadm_id")).alias("first_t"),
+        F.array(*[F.last(c, ignorenulls=True).over(earlier_segments) for c in latest]).alias("carry"),
     )
 
-    last_in_segment = (
-        steps.select(*part, "t", F.explode(F.map_keys("cells")).alias("itemid"))
-        .groupBy(*part, "itemid")
-        .agg(F.max("t").alias("last_t"))
-    )
-    ids = F.array(*[F.lit(i) for i in items])
-    per_item = [*part, "itemid"]
-    carried = (
-        segments.withColumn("itemid", F.explode(ids))
-        .join(last_in_segment, per_item, "left")
-        .withColumn(
-            "carry",
-            F.last("last_t", ignorenulls=True).over(
-                W.partitionBy("hadm_id", "itemid")
-                .orderBy("segment")
-                .rowsBetween(W.unboundedPreceding, -1)
-            ),
-        )
-        .drop("last_t")
-    )
-
-    grid = _over_items(steps, items).join(carried, per_item)
-    inside = W.partitionBy(*per_item).orderBy("t")
+    inside = W.partitionBy(*part).orderBy("t")
     earlier = inside.rowsBetween(W.unboundedPreceding, -1)
-    seen = F.last(F.when(F.col("m") == 1, F.col("t")), ignorenulls=True).over(earlier)
-    return (
-        grid.withColumn("step", F.row_number().over(inside) - 1 + F.col("steps_before"))
-        .withColumn("delta", F.col("t") - F.coalesce(seen, F.col("carry"), F.col("first_t")))
-        .select(*STAY, _pair(), "step", "charttime", "t", "itemid", "x", "m", "delta")
+    placed = steps.join(segments, part).select(
+        "*",
+        (F.row_number().over(inside) - 1 + F.col("steps_before")).alias("step"),
+        F.array(*[F.last(observed(item), ignorenulls=True).over(earlier) for item in items]).alias("seen"),
     )
+    cells = []
+    for k, item in enumerate(items):
+        measured = F.map_contains_key("cells", F.lit(item))
+        since = F.coalesce(F.get("seen", F.lit(k)), F.get("carry", F.lit(k)), F.col("first_t"))
+        cells.append(
+            F.struct(
+                F.lit(item).alias("itemid"),
+                F.when(measured, F.element_at("cells", F.lit(item))).otherwise(0.0).alias("x"),
+                measured.cast("int").alias("m"),
+                (F.col("t") - since).alias("delta"),
+            )
+        )
+    return placed.select(*STAY, _pair(), "step", "charttime", "t", F.inline(F.array(*cells)))
 
 
 def sequences(grid: DataFrame, time: str = "t") -> DataFrame:

@@ -344,6 +344,17 @@ SELECT DISTINCT p.subject_id, p.hadm_id, p.dischtime, p.target, p.gender, p.anch
 FROM people p LEFT JOIN labevents l ON l.subject_id = p.subject_id AND l.hadm_id = p.hadm_id
  AND (l.charttime IS NULL OR l.charttime BETWEEN p.dischtime - INTERVAL 7 DAY AND p.dischtime)""",
         "interval_join": WINDOW + " SELECT DISTINCT * FROM raw_window",
+        "csv_rejects": """
+SELECT 'row' AS kind, labevent_id, hadm_id, round(valuenum, 3) AS valuenum, '' AS reason FROM labevents
+WHERE labevent_id % 97 <> 0 AND labevent_id % 89 <> 0 AND labevent_id % 83 <> 0
+UNION ALL
+SELECT 'reject', labevent_id, NULL, NULL,
+       CASE WHEN labevent_id % 83 = 0 THEN 'number of fields' WHEN labevent_id % 97 = 0 THEN 'hadm_id is no bigint'
+            ELSE 'valuenum is no double' END
+FROM labevents WHERE labevent_id % 97 = 0 OR labevent_id % 89 = 0 OR labevent_id % 83 = 0""",
+        "bucketed_labs": """
+SELECT subject_id, hadm_id, count(*) AS n_labs, count(valuenum) AS n_values, max(charttime) AS last_time
+FROM labevents WHERE (subject_id, hadm_id) IN (SELECT (subject_id, hadm_id) FROM cohort) GROUP BY subject_id, hadm_id""",
         "semi_join_cohort": " SELECT * FROM labevents WHERE (subject_id, hadm_id) IN (SELECT (subject_id, hadm_id) FROM cohort)",
         "dedupe_labs": """
 SELECT subject_id, hadm_id, itemid, charttime, valuenum, n_merged FROM (

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lacuna.functions import codes, hashing, timing
 from lacuna.operators import (
@@ -191,6 +193,49 @@ def csv_roundtrip(t: ClinicalTables) -> DataFrame:
     )
 
 
+@query
+def csv_rejects(t: ClinicalTables) -> DataFrame:
+    """Labs as text, some fields of which are no numbers, some rows a field too long."""
+    labs = t.labevents.select("labevent_id", "hadm_id", "itemid", "valuenum")
+    number = F.col("labevent_id")
+    texts = labs.select(
+        F.concat_ws(
+            ",",
+            number.cast("string"),
+            F.when(number % 97 == 0, "none").otherwise(F.col("hadm_id").cast("string")),
+            F.col("itemid").cast("string"),
+            F.when(number % 89 == 0, "n/a").otherwise(F.coalesce(F.round("valuenum", 3).cast("string"), F.lit(""))),
+            F.when(number % 83 == 0, "more"),
+        ).alias("value")
+    )
+    path = new_path(t.spark, "labs-text")
+    texts.write.text(path)
+    schema = "labevent_id bigint, hadm_id bigint, itemid int, valuenum double"
+    good, bad = tables.read_csv_with_rejects(t.spark, path, T._parse_datatype_string(schema), header=False)
+    kept = good.select(F.lit("row").alias("kind"), "labevent_id", "hadm_id", "valuenum", F.lit("").alias("reason"))
+    return kept.unionByName(
+        bad.select(
+            F.lit("reject").alias("kind"),
+            F.substring_index("record", ",", 1).cast("bigint").alias("labevent_id"),
+            F.lit(None).cast("bigint").alias("hadm_id"),
+            F.lit(None).cast("double").alias("valuenum"),
+            "reason",
+        )
+    )
+
+
+@query
+def bucketed_labs(t: ClinicalTables) -> DataFrame:
+    """Semi-join and counts over labs and cohort stored by admission: neither is exchanged."""
+    labs, cohort = (
+        tables.store_by_admission(frame, f"lacuna_{name}_{uuid.uuid4().hex}", new_path(t.spark, name))
+        for name, frame in (("labs", t.labevents), ("cohort", t.cohort))
+    )
+    return co.labs_of_cohort(labs, cohort).groupBy(*co.KEYS).agg(
+        F.count(F.lit(1)).alias("n_labs"), F.count("valuenum").alias("n_values"), F.max("charttime").alias("last_time")
+    )
+
+
 @query
 def parquet_roundtrip(t: ClinicalTables) -> DataFrame:
     means = series.bin_mean(t.window_labs, WIDTH)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lacuna.session import cut_lineage
 from lacuna.sources.schemas import SCHEMAS
 
 # Quotes are doubled, not escaped with a backslash; blanks belong to the text.
@@ -26,6 +27,7 @@ CSV_TIMES = {
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
 }
+_RECORD, _FILE = "_record", "_file"
 WINDOW_FILE = r"_(\d+)_days_prior"
 
 
@@ -49,6 +51,37 @@ def read_csv(
     return df.repartition(partitions) if partitions else df
 
 
+def read_csv_with_rejects(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multiline: bool = False, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit ``schema``, and the others as ``file``, ``record`` (the text as it
+    stands) and ``reason``, instead of the error that ``read_csv`` raises.
+
+    The reason is the number of fields, or the first column whose text does not fit its
+    type.  The files are parsed once; both results come from the stored outcome.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(_RECORD, T.StringType())])
+    options = CSV_OPTIONS | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RECORD, "header": str(header).lower()}
+    paths = path if isinstance(path, str) else list(path)
+    parsed = spark.read.options(**options).schema(whole).csv(paths, multiLine=multiline)
+    rows = cut_lineage(parsed.withColumn(_FILE, F.when(F.col(_RECORD).isNotNull(), F.input_file_name())))
+    good = nan_to_null(rows.where(F.col(_RECORD).isNull()).drop(_RECORD, _FILE))
+    bad = rows.where(F.col(_RECORD).isNotNull()).select(F.col(_FILE).alias("file"), F.col(_RECORD).alias("record"))
+    return good, bad.withColumn("reason", _misfit(schema, options))
+
+
+def _misfit(schema: T.StructType, options: dict[str, str]) -> Column:
+    """Why the text ``record`` is no row of ``schema``."""
+    texts = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(schema))])
+    fields = F.from_csv("record", (texts.add(_RECORD, T.StringType())).simpleString()[7:-1].replace(":", " "), options)
+    reasons = [F.when(fields[_RECORD].isNotNull(), "number of fields")]
+    for k, field in enumerate(schema):
+        text = fields[f"c{k}"]
+        unfit = text.isNotNull() & (text != "") & text.try_cast(field.dataType).isNull()
+        reasons.append(F.when(unfit, f"{field.name} is no {field.dataType.simpleString()}"))
+    return F.coalesce(*reasons, F.lit("does not parse"))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN in floating-point columns as null, as the rest of the library expects."""
     numbers = [f.name for f in df.schema if isinstance(f.dataType, T.FloatType | T.DoubleType)]
@@ -85,9 +118,8 @@ def write_bucketed(
 
     Joins and aggregates on exactly these keys need no exchange of the stored side.  Every
     writing task adds a file to each bucket it has rows of, so deal the rows out by the keys
-    first unless a task holds few keys.  ``sort`` orders the rows of a file; with one file a
-    bucket a sort-merge join needs no sort either.  ``path`` keeps the files outside the
-    warehouse.
+    first unless a task holds few keys.  ``sort`` orders the rows of a file, which keeps the
+    keys of a row group together.  ``path`` keeps the files outside the warehouse.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     writer = df.write.mode("overwrite").format("parquet").option("compression", compression).bucketBy(buckets, *keys)
@@ -99,6 +131,16 @@ def write_bucketed(
     return df.sparkSession.table(table)
 
 
+def store_by_admission(df: DataFrame, table: str, path: str | None = None, buckets: int | None = None) -> DataFrame:
+    """``df`` as a table bucketed and sorted by (subject, admission), one file a bucket, in
+    place of an index: tables stored so with as many buckets are joined and aggregated by
+    admission without an exchange.  Rows of one admission share a bucket, so the largest
+    admission is one task's work."""
+    keys = ["subject_id", "hadm_id"]
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return write_bucketed(df.repartition(buckets, *keys), table, keys, buckets, path=path, sort=keys)
+
+
 def read_window_file(spark: SparkSession, folder: str, days: int) -> DataFrame:
     """The extract of one window size, found by its name ``*_<days>_days_prior.parquet``;
     two extracts of that size are an error."""

@@ -71,3 +71,15 @@ def test_stored_frames_go_below_the_warehouse_where_no_folder_is_set():
             getCheckpointDir = staticmethod(lambda: None)
 
     assert session.shared_folder(Bare) == "file:/w/_shared"
+
+
+def test_missing_scores_and_labels_are_errors(spark):
+    for row, problem in (((1, None), "null or NaN score"), ((1, float("nan")), "null or NaN score"), ((None, 0.5), "null label")):
+        df = spark.createDataFrame([(1, 0.9), (0, 0.2), row], "target int, score double")
+        for result in (
+            lambda d: metrics.conformal_sets(d, F.col("score") > 2),
+            lambda d: metrics.conformal_sets(d, F.lit(True)),
+            metrics.confusion, metrics.roc_auc, metrics.pr_auc, metrics.calibration,
+        ):
+            with pytest.raises(Exception, match=problem):
+                result(df).collect()

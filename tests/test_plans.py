@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import random
+
+import numpy as np
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from lacuna.operators import cohort as co
-from lacuna.operators import items, sampling, series
+from lacuna.operators import items, lookup, ranking, sampling, series
 from lacuna.plans.testbed import ClinicalTables
 from lacuna.session import tune
 from lacuna.sources import tables
@@ -96,3 +100,91 @@ def test_columns_and_filters_reach_the_scan(spark, skewed):
     plan = co.labs_in_window(cohort, labs)
     text = plan.select("hadm_id", "itemid")._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(charttime)" in text and "valuenum" not in text
+
+
+def test_bucketed_tables_join_and_aggregate_without_an_exchange(spark, skewed, tmp_path):
+    labs, cohort = skewed
+    stored = tables.store_by_admission(labs, "lacuna_test_labs", str(tmp_path / "b1"))
+    people = tables.store_by_admission(cohort.where("hadm_id % 3 = 0"), "lacuna_test_cohort", str(tmp_path / "b2"))
+    joined = co.labs_of_cohort(stored, people)
+    counts = joined.groupBy(*co.KEYS).count()
+    plan = final_plan(counts)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    plain = co.labs_of_cohort(labs, cohort.where("hadm_id % 3 = 0")).groupBy(*co.KEYS).count()
+    assert sorted(counts.collect()) == sorted(plain.collect()) and counts.count() > 10
+    for table in ("lacuna_test_labs", "lacuna_test_cohort"):
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_days_in_the_join_key_spread_one_admission(spark, skewed):
+    labs, cohort = skewed
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = co.labs_in_window(cohort, labs).where("hadm_id = 1")
+        assert found.select(F.spark_partition_id()).distinct().count() > 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    inside = labs.join(cohort, co.KEYS).where("charttime between dischtime - interval 7 days and dischtime")
+    assert co.labs_in_window(cohort, labs).count() == inside.count() > 100_000
+
+
+def test_days_outside_all_windows_are_not_read(spark, skewed, tmp_path):
+    labs, cohort = skewed
+    dated = labs.withColumn("day", F.to_date("charttime"))
+    tables.write_parquet(dated, str(tmp_path / "by_day"), partition_by=["day"])
+    by_day = tables.read_parquet(spark, str(tmp_path / "by_day"))
+    early = cohort.withColumn("dischtime", F.expr("TIMESTAMP_NTZ '2024-01-05 12:00:00'"))
+    for found, plain in (
+        (co.labs_in_window(early, by_day, day="day"), co.labs_in_window(early, labs)),
+        (co.extract_labs(early, by_day, carry=("dischtime",), day="day"), co.extract_labs(early, labs, carry=("dischtime",))),
+    ):
+        assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    pruned = co.labs_in_window(early, by_day, day="day")
+    filters = [line.split("PartitionFilters:")[1] for line in final_plan(pruned).splitlines() if "PartitionFilters:" in line]
+    assert any("day" in f.split("PushedFilters")[0] and "ubquery" in f.split("PushedFilters")[0] for f in filters), filters
+
+
+def test_order_statistics_neither_sort_nor_range_partition(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("rows are ranged")
+
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", refuse)
+    draw = random.Random(8)
+    groups = {
+        "wide": [draw.uniform(-1, 1) * 10 ** draw.randint(-300, 300) for _ in range(501)],
+        "ties": [draw.choice([0.0, -0.0, 1.5, 1.5, -2.0]) for _ in range(400)],
+        "far": [float(k) for k in range(1000)] + [1e308, -1e308, float("inf"), float("-inf")],
+        "one": [7.25],
+        "close": [1.0 + k * 2.0**-52 for k in range(300)],
+        None: [3.0, 1.0],
+    }
+    rows = [(g, v) for g, some in groups.items() for v in some] + [("one", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    found = {r.g: r.median for r in ranking.median(df, "v", ["g"]).collect()}
+    assert found == {g: float(np.median(some)) for g, some in groups.items()}
+    third = {r.g: r.v for r in ranking.order_statistic(df, "v", lambda n: F.lit(3), ["g"]).collect()}
+    assert third == {g: sorted(some)[2] if len(some) > 2 else None for g, some in groups.items()}
+    big = spark.range(1 << 60, (1 << 60) + 5001).withColumnRenamed("id", "v")
+    assert ranking.order_statistic(big, "v", lambda n: F.ceil(n / 2)).first().v == (1 << 60) + 2500
+    assert ranking.median(df.where("g = 'empty'"), "v").first()["median"] is None
+
+
+def test_lookups_broadcast_by_counted_size_and_salt_beyond(spark, skewed, monkeypatch):
+    labs, _ = skewed
+    few = spark.range(5).select(F.col("id").cast("int").alias("itemid"), (F.col("id") * 2).alias("twice"))
+    assert "Join" not in final_plan(lookup.attach(labs, few, "itemid"))
+    some = spark.range(500).select(F.col("id").cast("int").alias("itemid"), (F.col("id") * 2).alias("twice"))
+    plan = final_plan(lookup.attach(labs, some, "itemid"))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    many = spark.range(100_000).select(F.col("id").cast("int").alias("itemid"), (F.col("id") * 2).alias("twice"))
+    both = lookup.attach(labs, many, "itemid").where("itemid < 5")
+    assert "_salt" in final_plan(both) and "BroadcastHashJoin" not in final_plan(both)
+    assert both.columns == [*labs.columns, "twice"]
+    expected = lookup.attach(labs, few, "itemid").where("itemid < 5")
+    assert both.exceptAll(expected).isEmpty() and expected.exceptAll(both).isEmpty()
+    kept = {lookup.matching(labs, few, "itemid", most=most).count() for most in (10, 1)}
+    assert kept == {lookup.matching(labs, some.where("itemid < 5"), "itemid").count()} == {labs.where("itemid < 5").count()}
+    monkeypatch.setattr(items, "MOST_LABELS", 3)
+    with pytest.raises(ValueError, match="more than 3 labels"):
+        items.encode_labels(labs, "itemid", "code")

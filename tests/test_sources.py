@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,3 +168,19 @@ def test_a_query_to_a_database_can_be_read_in_ranges():
     for bad in (("x", 5, 5, 8), ("x", 0, 5, 0)):
         with pytest.raises(ValueError):
             tables.jdbc_options("SELECT x FROM t", "jdbc:any", bad)
+
+
+def test_rows_that_do_not_fit_go_to_the_rejects_with_a_reason(spark, tmp_path):
+    lines = ["a,b,t", "1,2.5,x", "one,2.5,x", "2,,", '3,"2,5","q ""x"""', "4,1.0,x,more", "5", ",NaN,z"]
+    (tmp_path / "some.csv").write_text("\n".join(lines) + "\n")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DoubleType()), T.StructField("t", T.StringType())])
+    good, bad = tables.read_csv_with_rejects(spark, str(tmp_path / "some.csv"), schema)
+    assert good.schema == schema
+    assert sorted(map(str, good.collect())) == sorted(map(str, [Row(a=1, b=2.5, t="x"), Row(a=2, b=None, t=None), Row(a=None, b=None, t="z")]))
+    found = {r.record: r.reason for r in bad.collect()}
+    assert found == {
+        "one,2.5,x": "a is no bigint", '3,"2,5","q ""x"""': "b is no double", "4,1.0,x,more": "number of fields", "5": "number of fields",
+    }
+    assert all(r.file.endswith("some.csv") for r in bad.collect())
+    with pytest.raises(Exception):
+        tables.read_csv(spark, str(tmp_path / "some.csv"), schema).collect()
