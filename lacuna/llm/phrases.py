@@ -27,6 +27,7 @@ count each; an empty table gives no rows.  Only the two named columns are read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,8 @@ from lacuna.llm import textwork as tw
 from lacuna.session import cut_lineage
 
 LONGEST = 4
+PAIR_BITS = 20  # marks of pairs that are counted in one array
+PAIRS_HELD = 6_000_000
 LEAST = 30
 SWALLOWED = 80  # per cent of a phrase's occurrences inside one longer candidate
 SCALE = 2_000_000
@@ -110,18 +113,67 @@ def _joined(marks: np.ndarray, piece: np.ndarray, frequent: np.ndarray) -> tuple
     return kept, first, tw.mix(marks[first] * np.uint64(3) + marks[first + 1])
 
 
-def count_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Occurrences ``n`` of pairs of frequent neighbours by 32 bits of their fingerprint;
-    pairs that share these bits are kept together, so none is lost."""
+def count_pairs(docs: DataFrame, frequent: np.ndarray, least: int) -> DataFrame:
+    """Low 32 bits ``mark`` of the fingerprints of frequent neighbours that occur ``least``
+    times; pairs that share these bits are counted together, so none is lost.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A task sends its counts packed by range of marks; the ranges are added up one after the
+    other in an array of fixed size.
+    """
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        marks, n = np.unique(np.concatenate(held), return_counts=True)
+        edges = np.searchsorted(marks, np.arange((1 << 32 - PAIR_BITS) + 1, dtype=np.uint64) << np.uint64(PAIR_BITS))
+        low, times = (marks & np.uint32((1 << PAIR_BITS) - 1)).astype("<u4"), np.minimum(n, 255).astype("u1")
+        # what does not fit a byte goes on in further entries of the same mark
+        more = np.flatnonzero(n > 255)
+        ranges = [
+            (k, zlib.compress(np.diff(low[a:b], prepend=low[a : a + 1] * 0).astype("<u4").tobytes() + times[a:b].tobytes(), 1))
+            for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a
+        ]
+        ranges += [(int(marks[i]) >> PAIR_BITS, np.array([low[i], n[i] - 255], "<u8").tobytes()) for i in more]
+        of, blobs = zip(*ranges)
+        large = [False] * (len(ranges) - len(more)) + [True] * len(more)
+        return pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), pa.array(large), pa.array(blobs, pa.binary())], ["part", "large", "counts"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
             for _, _, _, piece, _, marks in _cut(batch):
-                low = _joined(marks, piece, frequent)[2].astype(np.uint32).view(np.int32)
-                pairs, n = np.unique(low, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["mark", "n"])
+                held.append(_joined(marks, piece, frequent)[2].astype(np.uint32))
+            if sum(map(len, held)) >= PAIRS_HELD:
+                yield packed(held)
+                held = []
+        if sum(map(len, held)):
+            yield packed(held)
 
-    return docs.mapInArrow(run, "mark int, n long").groupBy("mark").agg(F.sum("n").alias("n"))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = None, np.zeros(1 << PAIR_BITS, np.int64)
+
+        def reached() -> pa.RecordBatch:
+            marks = (np.flatnonzero(total >= least).astype(np.uint64) | np.uint64(part << PAIR_BITS)).astype(np.uint32)
+            return pa.RecordBatch.from_arrays([pa.array(marks.view(np.int32))], ["mark"])
+
+        for batch in batches:
+            for of, large, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "large", "counts"))):
+                if of != part:
+                    if part is not None:
+                        yield reached()
+                        total[:] = 0
+                    part = of
+                if large:
+                    mark, n = np.frombuffer(counts, "<u8")
+                    total[int(mark)] += int(n)
+                    continue
+                raw = zlib.decompress(counts)
+                size = len(raw) // 5
+                total[np.cumsum(np.frombuffer(raw, "<u4", size).astype(np.int64))] += np.frombuffer(raw, "u1", size, 4 * size)
+        if part is not None:
+            yield reached()
+
+    sent = docs.mapInArrow(send, "part int, large boolean, counts binary")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sent.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(add, "mark int")
 
 
 def count_edges(docs: DataFrame, frequent: np.ndarray, pairs: np.ndarray) -> DataFrame:
@@ -176,10 +228,11 @@ def _begun(size: int) -> Column:
 def phrase_counts(edges: DataFrame, least: int) -> DataFrame:
     """Occurrences ``f`` of all phrases of 2 to ``LONGEST`` words from ``least`` on, by flow."""
     phrases = F.coalesce(*[F.when(F.col("size") == size, _begun(size)) for size in range(2, LONGEST + 1)])
-    flow = edges.select("lang", F.explode(phrases).alias("phrase"), "n")
-    shorter = flow.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-    longest = edges.where(F.col("size") == LONGEST).select("lang", F.col("gram").alias("phrase"), F.col("n").alias("f"))
-    return longest.unionByName(shorter).where(F.col("f") >= least).withColumn("size", F.size(F.split("phrase", " ")))
+    # an edge is counted already: only those that stay go along
+    itself = F.when((F.col("size") == LONGEST) & (F.col("n") >= least), F.array("gram")).otherwise(F.array().cast("array<string>"))
+    flow = edges.select("lang", F.explode(F.concat(phrases, itself)).alias("phrase"), "n")
+    counts = flow.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    return counts.where(F.col("f") >= least).withColumn("size", F.size(F.split("phrase", " ")))
 
 
 def unary_paths(counts: DataFrame) -> DataFrame:
@@ -233,9 +286,8 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     words = cut_lineage(count_words(pieces))
     single = words.where(F.col("n") >= least)
     frequent = tw.bitmap(word_marks(single))
-    pairs = tw.bitmap(count_pairs(pieces, frequent).where(F.col("n") >= least).select(F.col("mark").cast("long")))
-    edges = cut_lineage(count_edges(pieces, frequent, pairs))
-    longer = phrase_counts(edges, least)
+    pairs = tw.bitmap(count_pairs(pieces, frequent, least).select(F.col("mark").cast("long")))
+    longer = phrase_counts(count_edges(pieces, frequent, pairs), least)
     alone = single.select("lang", F.col("word").alias("phrase"), F.col("n").alias("f"), F.lit(1).alias("size"))
     counts = cut_lineage(longer.unionByName(alone))
     paths = cut_lineage(unary_paths(counts))
