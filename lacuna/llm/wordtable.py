@@ -48,7 +48,7 @@ from lacuna.session import new_path
 from lacuna.sources.tables import write_bucketed
 
 BLOCK_BYTES = 24 << 20
-SLICE_CODES = 1 << 20  # bytes of word numbers that are put together at a time
+SLICE_CODES = 1 << 18  # bytes of word numbers, or ids, that are put together at a time
 LIST_WORDS = 4096  # words of a block in one stored row
 PACK_ROWS = 400_000
 SHORT = 200  # bytes up to which a word is merged by scanning its pairs
@@ -468,16 +468,19 @@ def _put_pieces(kept: int, names: list[str]) -> Callable:
     def texts(ids: pa.ListArray, known: np.ndarray, data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
         flat = ids.flatten().to_numpy(zero_copy_only=False)
         lengths = ids.value_lengths().fill_null(0).to_numpy()
-        at = np.searchsorted(known, flat)
-        count = size[at]
-        raw = data[_ranges(begin[at], count)]
-        ends = np.concatenate([[0], np.cumsum(count)])[np.concatenate([[0], np.cumsum(lengths)])]
+        at = np.searchsorted(known, flat).astype(np.int32)
+        to = np.concatenate([[0], np.cumsum(size[at])])
+        raw = np.empty(to[-1], np.uint8)
+        for a in range(0, len(at), SLICE_CODES):
+            part = at[a : a + SLICE_CODES]
+            raw[to[a] : to[a + len(part)]] = data[_ranges(begin[part], size[part])]
+        ends = to[np.concatenate([[0], np.cumsum(lengths)])]
         try:  # valid as a whole and cut at characters, so valid in every part
             raw.tobytes().decode()
             cut_inside = (raw[ends[ends < len(raw)]] & 0xC0) == 0x80
             if not cut_inside.any():
                 return pa.StringArray.from_buffers(
-                    len(ids), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))
+                    len(ids), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)
                 )
         except UnicodeDecodeError:
             pass
