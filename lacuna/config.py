@@ -34,7 +34,7 @@ class ExperimentConfig:
         if self.label not in LABELS:
             raise ValueError(f"label must be one of {LABELS}")
         if self.label == "anchor_age" and not 18 <= self.age_threshold <= 90:
-            raise ValueError("age_threshold must be between 18 and 90")
+            raise ValueError("the age that splits the label has to lie in 18..90")
         if self.model not in MODELS:
             raise ValueError(f"model must be one of {MODELS}")
         if self.feature_set not in FEATURE_SETS:

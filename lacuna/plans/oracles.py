@@ -223,6 +223,38 @@ med AS (
   WHERE hadm_id IN (SELECT hadm_id FROM split WHERE is_test = 0) GROUP BY itemid)"""
 
 
+def _declared() -> list[str]:
+    keys = {
+        "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
+        "orders": "o_orderkey", "lineitem": "l_orderkey,l_linenumber", "labevents": "labevent_id", "patients": "subject_id",
+        "admissions": "hadm_id",
+    }
+    references = (
+        "admissions subject_id patients subject_id", "labevents subject_id patients subject_id",
+        "labevents hadm_id admissions hadm_id", "nation n_regionkey region r_regionkey", "customer c_nationkey nation n_nationkey",
+        "supplier s_nationkey nation n_nationkey", "orders o_custkey customer c_custkey", "lineitem l_orderkey orders o_orderkey",
+        "lineitem l_partkey part p_partkey", "lineitem l_suppkey supplier s_suppkey",
+    )
+    required = ("labevents charttime", "labevents valuenum", "orders o_custkey", "patients gender")
+    found = [
+        f"""SELECT 'primary_key' AS check_name, '{t}' AS table_name, '{k}' AS column_names, '' AS refers_to,
+ CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, CAST(coalesce(sum(CASE WHEN missing THEN n END), 0) AS BIGINT) AS null_rows,
+ count(*) FILTER (WHERE n > 1 AND NOT missing) AS bad_keys,
+ CAST(coalesce(sum(CASE WHEN n > 1 AND NOT missing THEN n END), 0) AS BIGINT) AS bad_rows
+FROM (SELECT {k}, count(*) AS n, {" OR ".join(f"{c} IS NULL" for c in k.split(","))} AS missing FROM {t} GROUP BY {k})"""
+        for t, k in keys.items()
+    ]
+    for child, column, parent, key in map(str.split, references):
+        gone = f"{column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)"
+        found.append(f"""SELECT 'foreign_key', '{child}', '{column}', '{parent}.{key}', count(*),
+ count(*) FILTER (WHERE {column} IS NULL), count(DISTINCT CASE WHEN {gone} THEN {column} END),
+ count(CASE WHEN {gone} THEN 1 END) FROM {child}""")
+    for table, column in map(str.split, required):
+        found.append(f"""SELECT 'not_null', '{table}', '{column}', '', count(*), count(*) FILTER (WHERE {column} IS NULL), 0, 0
+FROM {table}""")
+    return found
+
+
 def _knn(k: int = 5, width: int = 12, last_bin: int = 14) -> str:
     names = [f"{i}_{b}" for i in ITEMS for b in range(last_bin + 1)]
     return means(width) + f""",
@@ -575,6 +607,7 @@ FROM halves, cut WHERE NOT cal""",
                 _foreign("labevents_cohort", "labevents", "hadm_id", "cohort", "hadm_id"),
             ]
         ),
+        "dq_declared": " " + " UNION ALL ".join(_declared()),
         "dq_not_null": " "
         + " UNION ALL ".join(
             [

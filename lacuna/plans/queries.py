@@ -29,7 +29,7 @@ from lacuna.config import ExperimentConfig
 from lacuna.plans.experiment import run_experiment
 from lacuna.plans.testbed import ITEMS, ClinicalTables
 from lacuna.session import cut_lineage, new_path
-from lacuna.sources import tables
+from lacuna.sources import schemas, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -357,7 +357,7 @@ def zero_fill(t: ClinicalTables) -> DataFrame:
 
 @query
 def ffill_median(t: ClinicalTables) -> DataFrame:
-    split = sampling.holdout(t.cohort.select("hadm_id"), seed=0)
+    split = sampling.holdout(cut_lineage(t.cohort.select("hadm_id")), seed=0)
     train = split.filter("is_test = 0")
     medians = ranking.median(
         t.window_labs.join(train, "hadm_id", "left_semi"), "valuenum", ["itemid"]
@@ -508,7 +508,7 @@ def knn_impute(t: ClinicalTables) -> DataFrame:
 
 @query
 def imputation_score(t: ClinicalTables) -> DataFrame:
-    dense = _dense(t)
+    dense = cut_lineage(_dense(t))
     parts = [impute.imputation_score(dense, 0.2, mode=m) for m in ("overlay", "augmentation")]
     both = reduce(DataFrame.unionByName, parts)
     return both.withColumn("mae", r6("mae")).withColumn("rmse", r6("rmse"))
@@ -516,7 +516,7 @@ def imputation_score(t: ClinicalTables) -> DataFrame:
 
 @query
 def holdout_split(t: ClinicalTables) -> DataFrame:
-    return sampling.holdout(t.cohort.select("hadm_id", "subject_id", "target"), seed=0)
+    return sampling.holdout(cut_lineage(_labels(t)), seed=0)
 
 
 def _labels(t: ClinicalTables) -> DataFrame:
@@ -536,12 +536,12 @@ def fold_balance(t: ClinicalTables) -> DataFrame:
 
 @query
 def oversample_minority(t: ClinicalTables) -> DataFrame:
-    return sampling.oversample(_labels(t))
+    return sampling.oversample(cut_lineage(_labels(t)))
 
 
 @query
 def undersample_majority(t: ClinicalTables) -> DataFrame:
-    return sampling.undersample(_labels(t))
+    return sampling.undersample(cut_lineage(_labels(t)))
 
 
 @query
@@ -635,6 +635,37 @@ def dq_not_null(t: ClinicalTables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+STAR_KEYS = {
+    "region": ["r_regionkey"],
+    "nation": ["n_nationkey"],
+    "customer": ["c_custkey"],
+    "supplier": ["s_suppkey"],
+    "part": ["p_partkey"],
+    "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_linenumber"],
+}
+STAR_REFERENCES = [
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("labevents", "hadm_id", "admissions", "hadm_id"),
+]
+STAR_REQUIRED = {"labevents": ["charttime", "valuenum"], "orders": ["o_custkey"], "patients": ["gender"]}
+
+
+@query
+def dq_declared(t: ClinicalTables) -> DataFrame:
+    """Every declared key and reference among the tables at hand, the clinical and the star's."""
+    frames = {name: t.table(name) for name in STAR_KEYS}
+    frames |= {"labevents": t.labevents, "patients": t.patients, "admissions": t.admissions}
+    references = schemas.foreign_keys() + STAR_REFERENCES
+    return quality.declared_checks(frames, schemas.PRIMARY_KEYS | STAR_KEYS, references, STAR_REQUIRED)
+
+
 @query
 def dq_invalid_ids(t: ClinicalTables) -> DataFrame:
     return quality.invalid_id_report(t.extracted_list)

@@ -184,3 +184,34 @@ def test_rows_that_do_not_fit_go_to_the_rejects_with_a_reason(spark, tmp_path):
     assert all(r.file.endswith("some.csv") for r in bad.collect())
     with pytest.raises(Exception):
         tables.read_csv(spark, str(tmp_path / "some.csv"), schema).collect()
+
+
+def test_declared_keys_and_references_are_checked_as_a_set(spark):
+    parent = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "c")], "id int, v string")
+    child = spark.createDataFrame([(1, 1), (1, 9), (2, 9), (3, None), (3, 7)], "k int, ref int")
+    found = quality.declared_checks(
+        {"parent": parent, "child": child, "empty": child.limit(0)},
+        {"parent": ["id"], "child": ["k", "ref"], "absent": ["x"], "empty": ["k"]},
+        [("child", "ref", "parent", "id"), ("child", "ref", "absent", "x"), ("empty", "ref", "parent", "id")],
+        {"parent": ["v"]},
+    )
+    assert {tuple(r)[:4]: tuple(r)[4:] for r in found.collect()} == {
+        ("primary_key", "parent", "id", ""): (4, 1, 1, 2),
+        ("primary_key", "child", "k,ref", ""): (5, 1, 0, 0),
+        ("primary_key", "empty", "k", ""): (0, 0, 0, 0),
+        ("foreign_key", "child", "ref", "parent.id"): (5, 1, 2, 3),
+        ("foreign_key", "empty", "ref", "parent.id"): (0, 0, 0, 0),
+        ("not_null", "parent", "v", ""): (4, 1, 0, 0),
+    }
+
+
+def test_all_declarations_run_together(spark):
+    references = schemas.foreign_keys()
+    columns: dict[str, set[str]] = {t: set(k) for t, k in schemas.PRIMARY_KEYS.items()}
+    for child, column, table, key in references:
+        columns.setdefault(child, set()).add(column)
+        columns.setdefault(table, set()).add(key)
+    frames = {t: spark.range(3).select(*[F.col("id").alias(c) for c in sorted(some)]) for t, some in columns.items()}
+    rows = quality.declared_checks(frames, schemas.PRIMARY_KEYS, references).collect()
+    assert len(rows) == len(schemas.PRIMARY_KEYS) + len(references) == 24 + 51
+    assert all((r.n_rows, r.null_rows, r.bad_keys, r.bad_rows) == (3, 0, 0, 0) for r in rows)
