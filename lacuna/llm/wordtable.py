@@ -41,7 +41,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
-from tokenizers.pre_tokenizers import ByteLevel
 
 from lacuna.llm import textwork as tw
 from lacuna.session import new_path
@@ -60,6 +59,8 @@ _BLOCK_BITS = 24
 def classes() -> np.ndarray:
     """Class of every code point.  Where two libraries' Unicode versions differ (letters
     and digits of the last years), the pre-tokenizer that is to be matched is asked."""
+    from tokenizers.pre_tokenizers import ByteLevel  # the driver alone asks; tasks stay small
+
     every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "\0" for c in range(0x110000))
     table = np.zeros(0x110000, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
@@ -305,6 +306,7 @@ def _cutter(packed: tuple[bytes, bytes], kept: int, schema: T.StructType) -> Cal
             if held and sum(b.column("text").nbytes for b in [*held, batch]) > BLOCK_BYTES:
                 yield from block(number, held, own)
                 number, held = number + 1, []
+                pa.default_memory_pool().release_unused()
             held.append(batch)
         if held:
             yield from block(number, held, own)
@@ -359,6 +361,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sum(b.num_rows for b in held) >= PACK_ROWS:
             yield flush(held)
             held = []
+            pa.default_memory_pool().release_unused()
     held = [b for b in held if b.num_rows]
     if held:
         yield flush(held)
@@ -395,6 +398,7 @@ def _gatherer(kept: int, into_at: int, schema: pa.Schema) -> Callable:
             first = last
         columns: list = [docs[f"c{k}"] for k in range(kept)]
         columns.insert(into_at, pa.chunked_array(parts))
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_arrays(columns, schema=schema)
 
     return gather
