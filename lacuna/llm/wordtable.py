@@ -217,8 +217,8 @@ def cut(part: tw.Slice, own: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
 
 def to_varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers below 2^28 as 7-bit groups, low ones first; and where each begins."""
-    width = 1 + (values >= 1 << 7).astype(np.int64) + (values >= 1 << 14) + (values >= 1 << 21)
-    at = np.concatenate([[0], np.cumsum(width)])
+    width = 1 + (values >= 1 << 7).astype(np.uint8) + (values >= 1 << 14) + (values >= 1 << 21)
+    at = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
     out = np.zeros(at[-1], np.uint8)
     for k in range(4):
         has = width > k
@@ -256,18 +256,20 @@ def _cutter(packed: tuple[bytes, bytes], kept: int, schema: T.StructType) -> Cal
     """Stored blocks: one row per document with its words' numbers, one row per word."""
 
     def block(number: int, batches: list[pa.RecordBatch], own: Vocabulary) -> Iterator[pa.RecordBatch]:
-        words, per_doc = [], [np.zeros(1, np.int64)]
+        parts, per_doc = [], [np.zeros(1, np.int64)]
         for batch in batches:
             for part in tw.slices(batch.column("text")):
                 starts, doc_at = cut(part, own)
                 ends = np.concatenate([starts, [len(part.data)]]).astype(np.int32)
-                words.append(
-                    pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(part.data))
-                )
+                words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(part.data))
+                parts.append(words.dictionary_encode())  # a slice's words are let go at once
                 per_doc.append(per_doc[-1][-1] + doc_at[1:])
-        found = pa.concat_arrays(words).dictionary_encode() if words else pa.array([], pa.string()).dictionary_encode()
-        code = found.indices.to_numpy()
-        order = np.argsort(-np.bincount(code, minlength=len(found.dictionary)), kind="stable")
+        found = pa.chunked_array(parts, pa.dictionary(pa.int32(), pa.string())).unify_dictionaries()
+        distinct = found.chunk(0).dictionary if parts else pa.array([], pa.string())
+        del parts
+        code = np.concatenate([c.indices.to_numpy() for c in found.chunks] or [np.zeros(0, np.int32)])
+        del found
+        order = np.argsort(-np.bincount(code, minlength=len(distinct)), kind="stable")
         number_of = np.empty(len(order), np.int32)
         number_of[order] = np.arange(len(order))  # frequent words get small numbers
         word_at = np.concatenate(per_doc)
@@ -288,7 +290,7 @@ def _cutter(packed: tuple[bytes, bytes], kept: int, schema: T.StructType) -> Cal
         firsts = np.arange(0, len(order), LIST_WORDS, dtype=np.int32)
         rows = len(firsts)
         lists = pa.ListArray.from_arrays(
-            pa.array(np.append(firsts, len(order)).astype(np.int32)), found.dictionary.take(pa.array(order))
+            pa.array(np.append(firsts, len(order)).astype(np.int32)), distinct.take(pa.array(order))
         )
         yield pa.RecordBatch.from_arrays(
             [*(pa.nulls(rows, t) for t in types), pa.array(np.full(rows, number)), pa.nulls(rows, pa.binary()),
