@@ -766,7 +766,7 @@ def rf_importance(t: ClinicalTables) -> DataFrame:
 
 @query
 def permutation_importance(t: ClinicalTables) -> DataFrame:
-    return models.permutation_importance(_frame(t), COLUMNS, _forest, k=FOLDS, repeats=2)
+    return models.permutation_importance(_frame(t), COLUMNS, _forest, k=FOLDS, repeats=10)
 
 
 @query
