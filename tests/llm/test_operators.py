@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, components, decontam, labelled, linededup, minhash, pii, quality, secretscan, substrings, topk, toxicity
+from lacuna.llm import bpe, components, decontam, labelled, linededup, minhash, pii, quality, queries, secretscan, substrings, topk, toxicity
 from lacuna.llm import textwork as tw
 
 SMALL = "/root/testdata/sf0.001"
@@ -468,6 +468,16 @@ def test_classifier_edges(odd, none, labels):
         assert module.score(none, model).count() == 0
 
 
+def test_registered_counts_are_those_of_the_kinds(spark, tmp_path):
+    rows = [
+        (1, "a@b.org c@d.org e@f.org 10.0.0.1"), (2, "10.0.0.1 10.0.0.2"), (3, "4111 1111 1111 1111"),
+        (4, "call +49 30 1234567 now"), (5, None), (None, "no id a@b.org"),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in queries.op4_pii(spark, str(tmp_path)).collect()}
+    assert found == {1: (3, 1, 0, 0), 2: (0, 2, 0, 0), 3: (0, 0, 1, 0), 4: (0, 0, 0, 1), 5: (0, 0, 0, 0), None: (1, 0, 0, 0)}
+
+
 # ---- secrets -------------------------------------------------------------------
 
 
