@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lacuna.operators import cohort as co
 from lacuna.operators import items, lookup, ranking, sampling, series
+from lacuna.plans import queries as registered
 from lacuna.plans.testbed import ClinicalTables
 from lacuna.session import tune
 from lacuna.sources import tables
@@ -189,3 +190,19 @@ def test_lookups_broadcast_by_counted_size_and_salt_beyond(spark, skewed, monkey
     monkeypatch.setattr(items, "MOST_LABELS", 3)
     with pytest.raises(ValueError, match="more than 3 labels"):
         items.encode_labels(labs, "itemid", "code")
+
+
+def test_admissions_and_their_days_are_never_broadcast(spark):
+    """However small the packed customer file: the plans before any run."""
+    bed = ClinicalTables(spark, SMALL)
+    frames = {
+        "window": bed.window_labs.select("hadm_id", "itemid", "valuenum"),
+        "extract": co.extract_labs(bed.cohort, bed.labevents, carry=("dischtime",), preserve_all=True),
+        "semi": co.labs_of_cohort(bed.labevents, bed.cohort),
+        "labels": registered.REGISTRY["label_select"](spark, SMALL),
+        "cohort": registered.REGISTRY["cohort_build"](spark, SMALL),
+    }
+    for name, frame in frames.items():
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftAnti" not in line]
+        assert not joins and "SortMergeJoin" in plan, name
