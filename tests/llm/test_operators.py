@@ -342,6 +342,70 @@ def test_passages_just_over_the_similarity_are_found(spark):
     assert found == {2 * k + 1 for k in range(200)}
 
 
+def test_variants_after_the_first_of_their_keys_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "HASHES", 1)
+    rng = random.Random(17)
+    word = lambda n: [f"n{rng.randrange(10**7)}" for _ in range(n)]
+    rows, want = [], set()
+    for k in range(40):
+        passage = word(70)
+        # three texts of which the later two are alike, but not the first and these
+        first = [*passage[:30], *word(40)]
+        second = [*passage[:35], "changed", *passage[36:]]
+        rows += [(3 * k, " ".join(first)), (3 * k + 1, " ".join(passage)), (3 * k + 2, " ".join(second))]
+        want.add((3 * k + 2, 3 * k + 1))
+
+    def shares_first_key(k):
+        keys = []
+        for _, text in rows[3 * k : 3 * k + 3]:
+            part = next(substrings.tw.slices(substrings.pa.array([text])))
+            tokens, _, bounds = substrings.tw.grams(substrings.tw.words(part), substrings.SHINGLE)
+            keys.append(set(substrings.compact_windows(tokens, bounds)[0].tolist()))
+        return keys[1] & keys[2] and not keys[1] & keys[2] - keys[0]
+
+    hidden = {k for k in range(40) if shares_first_key(k)}
+    assert hidden  # nothing but keys whose first holder is another text
+    for block in (substrings.BLOCK, 1):
+        monkeypatch.setattr(substrings, "BLOCK", block)
+        found = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        pairs = {(r.doc_id, r.source_id) for r in found}
+        assert {(3 * k + 2, 3 * k + 1) for k in hidden} <= pairs <= want
+
+
+def test_passages_get_an_earlier_similar_one_if_there_is_one():
+    rng = np.random.default_rng(23)
+    length, half = substrings.LENGTH, 0
+    for case in range(30):
+        base = rng.integers(0, 1 << 31, 91, dtype=np.int32)
+        if case % 3 == 0:  # repeated tokens
+            base[rng.integers(0, 91, 12)] = base[0]
+        rows, tokens = [], []
+        for k in range(14):
+            # each changes some tokens of one before, so that chains come about
+            like = rng.integers(0, k) if k else 0
+            full = base.copy() if not k else whole[like].copy()
+            whole = [full] if not k else [*whole, full]
+            full[rng.integers(0, 91, rng.integers(0, 7))] = rng.integers(0, 1 << 31)
+            full[45] = base[45]
+            lo, hi = (0, 45) if not k else sorted(rng.integers(0, 46, 2).tolist())
+            rows.append((k // 2, k // 2, 45 + 200 * (k % 2), lo + 200 * (k % 2), hi + 200 * (k % 2)))
+            tokens.append(full[lo : hi + length])
+        side = rng.integers(0, 2, 14)
+        for cross in (False, True):
+            met, uncovered = substrings.sources(rows, tokens, side, np.ones(14, bool), cross)
+            alike = lambda i, k, r: substrings._similarity(*(tokens[x][r + rows[x][2] - rows[x][3] :][:length] for x in (i, k))) >= substrings.SIMILAR
+            holds = lambda k, r: rows[k][3] <= rows[k][2] + r <= rows[k][4]
+            for i in range(1, 14):
+                places = range(rows[i][3] - rows[i][2], rows[i][4] - rows[i][2] + 1)
+                assert (i in uncovered) == any(not alike(i, 0, r) for r in places)
+                for r in places:
+                    some = [k for k in range(i) if holds(k, r) and (not k or not cross or side[i] != side[k]) and alike(i, k, r)]
+                    got = [k for a, k in met if a == i and holds(k, r) and alike(i, k, r)]
+                    assert bool(some) == bool(got) and set(got) <= set(some)
+                    half += bool(some) and 0 not in some
+    assert half > 100  # passages whose only sources are later variants
+
+
 # ---- top-k -------------------------------------------------------------------
 
 
