@@ -26,6 +26,7 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,7 +140,12 @@ class Encoder:
             last = ids[-1] if ids else -1
             while True:
                 end = at + size[token]
-                if open_at[end] and (last < 0 or known.get((last, token)) or self._pair(last, token)):
+                fits = open_at[end]
+                if fits and last >= 0:
+                    fits = known.get((last, token))
+                    if fits is None:
+                        fits = self._pair(last, token)
+                if fits:
                     ids.append(token)
                     at = end
                     token = longest[at] if at < n else -1
@@ -161,9 +167,10 @@ def encoder(path: str) -> Encoder:
 
 
 @lru_cache(maxsize=2)
-def token_bytes(path: str) -> dict[int, bytes]:
-    """Bytes of each id of a rank file."""
-    return {rank: token for token, rank in read_ranks(path).items()}
+def token_bytes(path: str) -> pa.Array:
+    """Bytes of each id of a rank file, null for numbers that are no id."""
+    bytes_of = {rank: token for token, rank in read_ranks(path).items()}
+    return pa.array(map(bytes_of.get, range(max(bytes_of, default=-1) + 1)), pa.large_binary())
 
 
 class _Memo(dict):
@@ -213,9 +220,12 @@ def _encoded(value: str, memo: _Memo, first: _Memo) -> bytes:
     return first[stretches[0]] + b"".join(map(memo.__getitem__, stretches[1:]))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", into: str = "tokens") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", into: str = "tokens", keep: bool = True) -> DataFrame:
     """``docs`` with the token ids of ``text`` in the array column ``into``.
 
+    With ``keep`` a Python process keeps its encoder and memos for its next tasks, which
+    saves time; without it they are given up with each task, which saves memory.
+
     ``pattern`` cuts a text into pieces; a space may only begin a match or stand
     within white space, as in the public byte-level vocabularies.
     """
@@ -233,7 +243,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", into: s
             columns = [batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays([*columns, tokens], [*(f.name for f in kept), into])
 
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(tw.tidy(run, *(() if keep else (_memos, encoder))), schema)
 
 
 def decode(docs: DataFrame, path: str, tokens: str = "tokens", into: str = "decoded") -> DataFrame:
@@ -248,11 +258,17 @@ def decode(docs: DataFrame, path: str, tokens: str = "tokens", into: str = "deco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)
         for batch in batches:
-            column = batch.column(tokens)
-            out = [b"".join(map(table.__getitem__, ids.values.to_numpy().tolist())) if ids.is_valid else b"" for ids in column]
+            ids = batch.column(tokens)
+            flat = ids.flatten()
+            found = table.take(flat)
+            if found.null_count:
+                raise KeyError(f"token ids outside the vocabulary: {flat.filter(found.is_null()).unique().to_pylist()[:10]}")
+            sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(False)
+            ends = np.zeros(len(ids) + 1, np.int64)
+            if len(found):
+                ends[1:] = np.frombuffer(found.buffers()[1], np.int64)[np.cumsum(sizes)]
+            out = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends), found.buffers()[2] or pa.py_buffer(b"")])
             columns = [batch.column(f.name) for f in kept]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(out, pa.binary())], [*(f.name for f in kept), into]
-            )
+            yield pa.RecordBatch.from_arrays([*columns, out.cast(pa.binary())], [*(f.name for f in kept), into])
 
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(tw.tidy(run), schema)

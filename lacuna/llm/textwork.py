@@ -8,7 +8,9 @@ over its bytes, mixed; an n-gram's is a polynomial over its words' hashes, mixed
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -61,6 +63,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *caches: Callable) -> Callable:
+    """``work`` for ``mapInArrow``, after which the Python process gives its unused memory
+    back: it lives on for the next tasks, beside others and the JVM.  ``caches`` are
+    functions with a cache that is emptied as well."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            for cached in caches:
+                cached.cache_clear()
+            if caches:
+                gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, U64)
     out[0] = 1

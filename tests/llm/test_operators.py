@@ -105,6 +105,26 @@ def test_bpe_round_trip_and_edges(odd, none):
     assert bpe.encode(none, PATH, PATTERN).count() == 0
 
 
+def test_decoding_of_null_empty_and_unknown_ids(spark):
+    words = bpe.encoder(PATH).bytes_of
+    rows = [(1, [5, 300, 5]), (2, None), (3, []), (4, [301])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<int>")
+    back = {r.doc_id: bytes(r.decoded) for r in bpe.decode(df, PATH).collect()}
+    assert back == {k: b"".join(words[i] for i in ids or []) for k, ids in rows}
+    assert [bytes(r.decoded) for r in bpe.decode(df.where("doc_id in (2, 3)"), PATH).collect()] == [b"", b""]
+    with pytest.raises(Exception, match="(?i)out of bounds|outside the vocabulary"):
+        bpe.decode(spark.createDataFrame([([max(words) + 1],)], "tokens array<int>"), PATH).collect()
+
+
+def test_a_task_gives_up_its_encoder_if_asked(spark):
+    texts = spark.createDataFrame([(k, f"one two {k} three") for k in range(20)], "doc_id long, text string").repartition(1)
+    kept = bpe.encode(texts, PATH, PATTERN).collect()
+    assert sorted(bpe.encode(texts, PATH, PATTERN, keep=False).collect()) == sorted(kept)
+    work = bpe.tw.tidy(lambda batches: batches, bpe._memos, bpe.encoder)
+    bpe._memos(PATH, PATTERN)
+    assert list(work(iter([]))) == [] and not bpe._memos.cache_info().currsize and not bpe.encoder.cache_info().currsize
+
+
 # ---- MinHash -----------------------------------------------------------------
 
 
