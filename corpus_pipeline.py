@@ -50,7 +50,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def encode_and_decode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids, their number, and the text as decoded from them."""
     path = public_tokenizers.path(RANK_FILE)
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
+    # stored in between, so that a core has one Python process, not two
+    encoded = cut_lineage(bpe.encode(docs, path, public_tokenizers.PATTERN, keep=False).drop("text"))
     decoded = bpe.decode(encoded, path)
     return decoded.select(
         "doc_id", F.col("decoded").cast("string").alias("text"), "lang", "source", "n_chars",

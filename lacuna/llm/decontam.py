@@ -89,7 +89,7 @@ def _item_words(items: DataFrame, text: str, item_id: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["item_id", "words", "grams"])
 
     rows = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
-    rows = rows.where("item_id is not null").mapInArrow(work, "item_id long, words array<long>, grams array<long>")
+    rows = rows.where("item_id is not null").mapInArrow(tw.tidy(work), "item_id long, words array<long>, grams array<long>")
     return rows.groupBy("item_id").agg(F.max_by(F.struct("words", "grams"), F.struct(F.size("words"), "words")).alias("x")).select(
         "item_id", "x.words", "x.grams"
     )
@@ -110,7 +110,7 @@ def hits(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
                 columns += [pa.array(tw.signed(grams[hit])), pa.array(word)]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "body", "gram", "word"])
 
-    return docs.mapInArrow(work, "id long, body long, gram long, word int")
+    return docs.mapInArrow(tw.tidy(work), "id long, body long, gram long, word int")
 
 
 def clusters(found: DataFrame, threshold: float) -> DataFrame:
@@ -141,7 +141,7 @@ def clusters(found: DataFrame, threshold: float) -> DataFrame:
             columns = [batch.column(c).take(pa.array(owner[begin])) for c in ("id", "body", "item_id")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(lo), pa.array(hi)], ["id", "body", "item_id", "lo", "hi"])
 
-    return found.mapInArrow(work, "id long, body long, item_id long, lo long, hi long")
+    return found.mapInArrow(tw.tidy(work), "id long, body long, item_id long, lo long, hi long")
 
 
 def regions(docs: DataFrame, asked: DataFrame) -> DataFrame:
@@ -173,9 +173,9 @@ def regions(docs: DataFrame, asked: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns, item, lo, lists], ["id", "body", "item_id", "first", "words"])
 
     wanted = asked.groupBy("id", "body").agg(F.collect_list(F.struct("item_id", "lo", "hi")).alias("wanted"))
-    near = docs.mapInArrow(likely, "id long, body long, text string").join(wanted, ["id", "body"])
+    near = docs.mapInArrow(tw.tidy(likely), "id long, body long, text string").join(wanted, ["id", "body"])
     return near.select("id", "body", "text", "wanted").mapInArrow(
-        work, "id long, body long, item_id long, first long, words array<long>"
+        tw.tidy(work), "id long, body long, item_id long, first long, words array<long>"
     )
 
 
@@ -239,7 +239,7 @@ def _aligned(pairs: DataFrame) -> DataFrame:
             )
 
     return pairs.mapInArrow(
-        work, "id long, body long, item_id long, score double, first_word long, end_word long"
+        tw.tidy(work), "id long, body long, item_id long, score double, first_word long, end_word long"
     )
 
 

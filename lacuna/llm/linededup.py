@@ -79,7 +79,7 @@ def _windows(docs: DataFrame, run: int, counts: bool, least: int = 0) -> DataFra
                 columns += [batch.column(0).take(take), batch.column(1).take(take), pa.array(at)]
                 yield pa.RecordBatch.from_arrays(columns, ["fp", "key", "id", "body", "at"])
 
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(tw.tidy(work), schema)
 
 
 def repeated_windows(docs: DataFrame, text: str = "text", row_id: str = "doc_id", run: int = RUN, least: int = 0) -> DataFrame:
@@ -194,4 +194,4 @@ def dedupe_lines(docs: DataFrame, text: str = "text", row_id: str = "doc_id", ru
         (F.col("__id") == F.col("__mid")) & (F.col("__body") == F.col("__mbody")) & F.col(f"`{text}`").isNotNull(),
         "left",
     )
-    return joined.select(*[F.col(f"`{n}`") for n in names], "__found").mapInArrow(work, schema)
+    return joined.select(*[F.col(f"`{n}`") for n in names], "__found").mapInArrow(tw.tidy(work), schema)

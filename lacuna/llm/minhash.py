@@ -110,7 +110,7 @@ def signatures(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> D
                 columns.append(pa.ListArray.from_arrays(ends, pa.array(values.ravel()), mask=empty))
             yield pa.RecordBatch.from_arrays(columns, ["id", "n", "digest", "bands", "packed"])
 
-    return docs.select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(tw.tidy(run), schema)
 
 
 def shingles(docs: DataFrame, wanted: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
@@ -134,7 +134,7 @@ def shingles(docs: DataFrame, wanted: DataFrame, text: str = "text", row_id: str
 
     row = F.col(row_id).cast("long")
     source = docs.select(row.alias("id"), F.col(text).alias("text"), F.xxhash64(row).alias("hash"))
-    return source.mapInArrow(run, "id long, shingles array<long>").join(wanted.select("id"), "id", "left_semi")
+    return source.mapInArrow(tw.tidy(run), "id long, shingles array<long>").join(wanted.select("id"), "id", "left_semi")
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -275,7 +275,7 @@ def _block_links(rows: DataFrame, percent: int) -> DataFrame:
             )
 
     pairs = left.join(right, "cluster").where("i <= j").select("left", "right")
-    return pairs.mapInArrow(work, "a long, b long")
+    return pairs.mapInArrow(tw.tidy(work), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", row_id: str = "doc_id", percent: int = 85) -> DataFrame:
