@@ -14,6 +14,7 @@ from lacuna.config import ExperimentConfig
 from lacuna.functions import hashing
 from lacuna.operators import impute, matrix, metrics, models, quality, ranking, sampling
 from lacuna.plans import experiment
+from lacuna.session import cut_lineage
 
 
 def test_row_number_is_the_global_order(spark):
@@ -299,3 +300,26 @@ def test_box_distance_is_a_lower_bound():
             a, b = (rng.normal(c, 1, (4, 5)) for c in (0, 3))
             a[rng.random(a.shape) < share], b[rng.random(b.shape) < share] = np.nan, np.nan
             assert np.sqrt(impute.lowest_distance(*box(a), *box(b))) <= impute._distances(a, b).min() + 1e-8
+
+
+def test_packed_blocks_are_never_broadcast(spark, monkeypatch):
+    """Their files are small, their rows are not: the plans before any run."""
+    rng = random.Random(5)
+    rows = [(i, [None if rng.random() < 0.5 else round(rng.uniform(0, 9), 1) for _ in range(6)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "hadm_id bigint, values array<double>")
+    plans: list[str] = []
+
+    def cut(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(frame)
+
+    monkeypatch.setattr(impute, "cut_lineage", cut)
+    got = impute.knn_impute(df, df, k=2, block_rows=10)
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert any("SortMergeJoin" in plan and "mat#" in plan for plan in plans)
+    for plan in plans:
+        lines = plan.splitlines()
+        for at, line in enumerate(lines):
+            if "BroadcastExchange" in line:
+                below = lines[at + 1]
+                assert not any(f"{c}#" in below for c in ("mat", "known", "fills", "ids")), below
