@@ -37,7 +37,7 @@ SEED, REACH = 3, 5
 _SHAPES = [(a, b) for b in range(2, REACH) for a in range(1, b)]
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-_CELLS = 4_000_000  # alignment cells worked on at once
+_CELLS = 100_000  # alignment cells worked on at once: a few arrays of them stay in the cache
 
 
 def folded(text: pa.Array) -> pa.Array:
@@ -186,33 +186,42 @@ def align(texts: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarray,
     running maximum.
     """
     width, depth = max(map(len, texts)), max(map(len, items))
-    text = np.zeros((len(texts), width), np.int64)
-    valid = np.zeros((len(texts), width), bool)
-    for k, own in enumerate(texts):
-        text[k, : len(own)], valid[k, : len(own)] = own, True
-    item = np.zeros((len(items), depth), np.int64)
-    for k, own in enumerate(items):
-        item[k, : len(own)] = own
     lengths = np.array([len(x) for x in items])
-    slope = -GAP * np.arange(width, dtype=np.int32)
-    row = np.zeros((len(texts), width + 1), np.int32)
+    sizes = np.array([len(x) for x in texts])
+    # words as their numbers among these pairs, and two numbers that match nothing as padding
+    known, codes = np.unique(np.concatenate([*texts, *items]), return_inverse=True)
+    codes = codes.astype(np.int32)
+    text = np.full((len(texts), width), len(known), np.int32)
+    text[np.arange(width) < sizes[:, None]] = codes[: sizes.sum()]
+    item = np.full((len(items), depth), len(known) + 1, np.int32)
+    item[np.arange(depth) < lengths[:, None]] = codes[sizes.sum() :]
+    # no value is beyond the matches of a whole item and the gaps along a whole text
+    number = np.int16 if MATCH * depth - GAP * width < 1 << 15 else np.int32
+    slope = (-GAP * np.arange(width)).astype(number)
+    row = np.zeros((len(texts), width + 1), number)
     best, end = np.zeros(len(texts), np.int32), np.zeros(len(texts), np.int64)
+    every, miss, step = np.arange(len(texts)), number(MISMATCH), number(MATCH - MISMATCH)
     for i in range(depth):
-        gain = np.where((text == item[:, i, None]) & valid, MATCH, MISMATCH).astype(np.int32)
-        now = np.maximum(row[:, :-1] + gain, row[:, 1:] + GAP)
+        now = (text == item[:, i, None]) * step
+        now += miss
+        now += row[:, :-1]
+        np.maximum(now, row[:, 1:] + number(GAP), out=now)
         np.maximum(now, 0, out=now)
-        now = np.maximum.accumulate(now + slope, axis=1) - slope
-        now[(i >= lengths)] = 0
+        now += slope
+        np.maximum.accumulate(now, axis=1, out=now)
+        now -= slope
+        now[i >= lengths] = 0
         row[:, 1:] = now
         at = now.argmax(axis=1)
-        top = now[np.arange(len(now)), at]
+        top = now[every, at]
         better = top > best
         best[better], end[better] = top[better], at[better] + 1
     return best, end
 
 
-def _aligned(pairs: DataFrame) -> DataFrame:
-    """``id, body, item_id, score, first_word, last_word`` of pairs of region and item."""
+def _aligned(pairs: DataFrame, threshold: float) -> DataFrame:
+    """``id, body, item_id, score, first_word, last_word`` of the pairs of region and item
+    with a score of ``threshold`` or more."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,19 +231,24 @@ def _aligned(pairs: DataFrame) -> DataFrame:
             score, lo, hi = np.zeros(len(order)), np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
             at = 0
             while at < len(order):
-                n = max(1, _CELLS // int(sizes[0][order[at:]].max() + 1))
+                # as many of the next pairs as are within the cells at the width of their longest
+                longest = np.maximum.accumulate(sizes[0][order[at : at + _CELLS]]) + 1
+                n = max(1, int(np.searchsorted(longest * np.arange(1, len(longest) + 1), _CELLS, "right")))
                 own = order[at : at + n]
                 texts = [text[int(k)].values.to_numpy() for k in own]
                 items = [item[int(k)].values.to_numpy() for k in own]
                 best, end = align(texts, items)
-                # the same from the end backwards finds where the copy begins
-                back, begin = align([t[:e][::-1] if e else t for t, e in zip(texts, end)], [i[::-1] for i in items])
                 score[own] = best / (MATCH * sizes[1][own])
-                hi[own], lo[own] = end, end - begin
+                # the same from the end backwards finds where the copy begins
+                good = np.flatnonzero(score[own] >= threshold)
+                if len(good):
+                    _, begin = align([texts[k][: end[k]][::-1] if end[k] else texts[k] for k in good], [items[k][::-1] for k in good])
+                    hi[own[good]], lo[own[good]] = end[good], end[good] - begin
                 at += n
-            first = batch.column("first").to_numpy()
+            kept = np.flatnonzero(score >= threshold)
+            first, take = batch.column("first").to_numpy()[kept], pa.array(kept)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("id", "body", "item_id")), *map(pa.array, (score, first + lo, first + hi))],
+                [*(batch.column(c).take(take) for c in ("id", "body", "item_id")), *map(pa.array, (score[kept], first + lo[kept], first + hi[kept]))],
                 ["id", "body", "item_id", "score", "first_word", "end_word"],
             )
 
@@ -265,7 +279,7 @@ def find_copies(
     whole = regions(rows, near).join(known.select("item_id", F.col("words").alias("item_words")), "item_id")
     best = F.max(F.struct("score", F.struct(-F.col("first_word"), "end_word"))).alias("x")
     return (
-        _aligned(whole).where(F.col("score") >= threshold).groupBy("id", "body", "item_id").agg(best)
+        _aligned(whole, threshold).groupBy("id", "body", "item_id").agg(best)
         .select(
             F.col("id").alias("doc_id"), "body", "item_id", "x.score",
             (-F.col("x.col2.col1")).alias("first_word"), F.col("x.col2.end_word").alias("end_word"),

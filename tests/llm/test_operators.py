@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from types import SimpleNamespace
 from zlib import crc32
 
 import numpy as np
@@ -582,3 +583,23 @@ def test_secrets_are_told_from_other_findings_on_rows_without_labels(spark, odd,
     assert secretscan.scan(none).count() == 0
     odd_one = odd.union(odd.limit(1).withColumn("text", F.lit("token = 0123456789abcdef0123")))
     assert [(r.value, r.word_index) for r in secretscan.scan(odd_one).collect()] == [("0123456789abcdef0123", 2)]
+
+
+def test_regions_are_aligned_at_about_their_own_width(monkeypatch):
+    rng = np.random.default_rng(6)
+    words = [list(map(int, rng.integers(0, 50, n))) for n in [30] * 3000 + [3000]]
+    items = [w[:20] for w in words]
+    rows = {"id": range(3001), "body": range(3001), "item_id": [0] * 3001, "first": [0] * 3001, "words": words, "item_words": items}
+    cells = []
+    align = decontam.align
+
+    def counted(texts, items):
+        cells.append(len(texts) * max(map(len, texts)))
+        return align(texts, items)
+
+    monkeypatch.setattr(decontam, "align", counted)
+    frame = SimpleNamespace(mapInArrow=lambda work, schema: work)
+    work = decontam._aligned(frame, 0.5)
+    (got,) = work(iter([pa.RecordBatch.from_pydict({k: list(v) for k, v in rows.items()})]))
+    assert got["score"].to_pylist() == [1.0] * 3001 and got["first_word"].to_pylist() == [0] * 3001
+    assert sum(cells) < 4 * sum(map(len, words))
