@@ -10,7 +10,8 @@ next shorter prefix token, and steps back if none is left.  A position from whic
 encoding continues is marked, so each is tried once: the work is linear in the piece
 for a vocabulary with bounded token length, and the result is the one exact merging
 gives.  The ids of short stretches between spaces are
-memoised per Python process in two generations of ``MEMO_STRETCHES`` entries.
+memoised per Python process in two generations of ``MEMO_STRETCHES`` entries; a stretch
+of several pieces (a word and its punctuation) is put together from theirs.
 
 Null text counts as empty and gives an empty array.  Every other column is kept.
 """
@@ -34,8 +35,11 @@ from pyspark.sql import types as T
 
 from lacuna.llm import textwork as tw
 
-MEMO_STRETCHES = 120_000
+MEMO_STRETCHES = 240_000
+MEMO_BRIEF = 60_000  # entries where memos end with their task
+PAIRS_KNOWN = 500_000
 MEMO_CHARS = 48
+ROWS = 250  # documents worked on at once
 _SPACES = re.compile(r"\s\x20|\x20\s")
 
 
@@ -115,7 +119,7 @@ class Encoder:
                 limit, a = a, self.split[a][1]
             else:
                 limit, b = b + 1, self.split[b][0]
-        if len(self.compatible) > 2_000_000:
+        if len(self.compatible) >= PAIRS_KNOWN:
             self.compatible.clear()
         self.compatible[left, right] = answer
         return answer
@@ -178,23 +182,27 @@ class _Memo(dict):
 
     ``lead`` is put before each key: a stretch is what follows one space.  When it is
     full it becomes the older generation and starts anew; a key still in use comes back
-    from there.
+    from there.  ``rest`` is the memo of pieces without that space.
     """
 
-    def __init__(self, own: Encoder, cut, lead: str):
+    def __init__(self, own: Encoder, cut, lead: str, most: int, rest: _Memo | None = None):
         super().__init__()
-        self.own, self.cut, self.lead = own, cut, lead
+        self.own, self.cut, self.lead, self.most = own, cut, lead, most
+        self.rest = self if rest is None else rest
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, stretch: str) -> bytes:
         packed = self.older.get(stretch)
         if packed is None:
-            ids = array("i")
-            for piece in self.cut.findall(self.lead + stretch):
-                ids.extend(self.own.piece(piece.encode()))
-            packed = ids.tobytes()
+            pieces = self.cut.findall(self.lead + stretch)
+            if len(pieces) < 2:
+                packed = b"".join([array("i", self.own.piece(p.encode())).tobytes() for p in pieces])
+            else:
+                own = self.lead and pieces[0].startswith(self.lead)
+                begin = self[pieces[0][len(self.lead) :]] if own else self.rest[pieces[0]]
+                packed = begin + b"".join([self.rest[p] for p in pieces[1:]])
         if len(stretch) <= MEMO_CHARS:
-            if len(self) >= MEMO_STRETCHES:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[stretch] = packed
@@ -202,10 +210,11 @@ class _Memo(dict):
 
 
 @lru_cache(maxsize=2)
-def _memos(path: str, pattern: str) -> tuple[_Memo, _Memo]:
+def _memos(path: str, pattern: str, most: int = MEMO_STRETCHES) -> tuple[_Memo, _Memo]:
     """Memos of a Python process: after a space, and at the beginning of a text."""
     cut = regex.compile(pattern)
-    return _Memo(encoder(path), cut, " "), _Memo(encoder(path), cut, "")
+    first = _Memo(encoder(path), cut, "", most)
+    return _Memo(encoder(path), cut, " ", most, first), first
 
 
 def _encoded(value: str, memo: _Memo, first: _Memo) -> bytes:
@@ -220,6 +229,13 @@ def _encoded(value: str, memo: _Memo, first: _Memo) -> bytes:
     return first[stretches[0]] + b"".join(map(memo.__getitem__, stretches[1:]))
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``ROWS`` at most, so that little of them is held as lists."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", into: str = "tokens", keep: bool = True) -> DataFrame:
     """``docs`` with the token ids of ``text`` in the array column ``into``.
 
@@ -227,15 +243,16 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", into: s
     saves time; without it they are given up with each task, which saves memory.
 
     ``pattern`` cuts a text into pieces; a space may only begin a match or stand
-    within white space, as in the public byte-level vocabularies.
+    within white space, and a match cut on its own is one match again, as in the public
+    byte-level vocabularies.
     """
     tw.prepare(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name != into]
     schema = T.StructType([*kept, T.StructField(into, T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, first = _memos(path, pattern)
-        for batch in batches:
+        memo, first = _memos(path, pattern, MEMO_STRETCHES if keep else MEMO_BRIEF)
+        for batch in _small(batches):
             packed = [_encoded(v, memo, first) if v else b"" for v in batch.column(text).to_pylist()]
             ends = np.cumsum([0, *map(len, packed)]) // 4
             flat = np.frombuffer(b"".join(packed), np.int32)
@@ -257,7 +274,7 @@ def decode(docs: DataFrame, path: str, tokens: str = "tokens", into: str = "deco
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)
-        for batch in batches:
+        for batch in _small(batches):
             ids = batch.column(tokens)
             flat = ids.flatten()
             found = table.take(flat)

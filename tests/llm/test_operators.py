@@ -585,6 +585,18 @@ def test_secrets_are_told_from_other_findings_on_rows_without_labels(spark, odd,
     assert [(r.value, r.word_index) for r in secretscan.scan(odd_one).collect()] == [("0123456789abcdef0123", 2)]
 
 
+def test_known_words_are_not_encoded_again_with_their_punctuation(monkeypatch):
+    pieces = []
+    own = bpe.Encoder.piece
+    monkeypatch.setattr(bpe.Encoder, "piece", lambda self, piece: pieces.append(piece) or own(self, piece))
+    memo, first = bpe._memos.__wrapped__(PATH, PATTERN)
+    text = "x zutekeit zutekeit. zutekeit.$$$ zutekeit\nAnd And"
+    packed = bpe._encoded(text, memo, first)
+    assert pieces.count(b" zutekeit") == 1 and pieces.count(b".") == 1
+    expected = [i for m in memo.cut.finditer(text) for i in own(memo.own, m[0].encode())]
+    assert np.frombuffer(packed, np.int32).tolist() == expected
+
+
 def test_regions_are_aligned_at_about_their_own_width(monkeypatch):
     rng = np.random.default_rng(6)
     words = [list(map(int, rng.integers(0, 50, n))) for n in [30] * 3000 + [3000]]
