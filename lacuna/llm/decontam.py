@@ -173,7 +173,8 @@ def regions(docs: DataFrame, asked: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns, item, lo, lists], ["id", "body", "item_id", "first", "words"])
 
     wanted = asked.groupBy("id", "body").agg(F.collect_list(F.struct("item_id", "lo", "hi")).alias("wanted"))
-    near = docs.mapInArrow(tw.tidy(likely), "id long, body long, text string").join(wanted, ["id", "body"])
+    # stored in between, so that a core has one Python process, not several in a row
+    near = cut_lineage(docs.mapInArrow(tw.tidy(likely), "id long, body long, text string")).join(wanted, ["id", "body"])
     return near.select("id", "body", "text", "wanted").mapInArrow(
         tw.tidy(work), "id long, body long, item_id long, first long, words array<long>"
     )
@@ -276,7 +277,7 @@ def find_copies(
     found = hits(rows, tw.bitmap(seeds.select("gram"))).join(seeds, "gram")
     found = found.groupBy("id", "body", "item_id", "size").agg(F.collect_set("word").alias("at"))
     near = cut_lineage(clusters(found.select("id", "body", "item_id", "size", "at"), threshold))
-    whole = regions(rows, near).join(known.select("item_id", F.col("words").alias("item_words")), "item_id")
+    whole = cut_lineage(regions(rows, near)).join(known.select("item_id", F.col("words").alias("item_words")), "item_id")
     best = F.max(F.struct("score", F.struct(-F.col("first_word"), "end_word"))).alias("x")
     return (
         _aligned(whole, threshold).groupBy("id", "body", "item_id").agg(best)

@@ -304,6 +304,24 @@ def test_copies_in_other_case_are_found_in_all_scripts(spark):
     assert row.score == 1.0
 
 
+def test_no_task_of_decontamination_has_several_python_processes(spark, monkeypatch):
+    plans, store = [], decontam.cut_lineage
+
+    def stored(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(decontam, "cut_lineage", stored)
+    item = " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, item), (2, "nothing of it")], "doc_id long, text string")
+    found = decontam.find_copies(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, 7)]
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    for plan in plans:
+        for stage in plan.split("Exchange"):
+            assert stage.count("MapInArrow") <= 1, plan
+
+
 # ---- passages ----------------------------------------------------------------
 
 
