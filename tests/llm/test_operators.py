@@ -445,6 +445,36 @@ def test_passages_get_an_earlier_similar_one_if_there_is_one():
     assert half > 100  # passages whose only sources are later variants
 
 
+def test_rows_that_share_tokens_but_no_passage_are_not_compared(monkeypatch):
+    rng = np.random.default_rng(31)
+    length = substrings.LENGTH
+    # each row takes every token from another one of the pool, so none has a similar one
+    pool = np.sort(rng.integers(0, 1 << 31, (40, 2 * length - 1), dtype=np.int32))
+    rows, tokens = [], []
+    for k in range(300):
+        full = pool[rng.integers(0, 40, 2 * length - 1), np.arange(2 * length - 1)]
+        full[length - 1] = 0
+        rows.append((k, k, length - 1, 0, length - 1))
+        tokens.append(full)
+    compared, alike = [], substrings.alike
+    monkeypatch.setattr(substrings, "alike", lambda *args: compared.append(1) or alike(*args))
+    assert substrings.sources(rows, tokens, np.zeros(300, int), np.zeros(300, bool), False) == ([], [])
+    assert not compared
+    near = tokens[200].copy()
+    near[:4] = -1
+    found, _ = substrings.sources([*rows, (300, 300, length - 1, 0, length - 1)], [*tokens, near], np.zeros(301, int), np.zeros(301, bool), False)
+    assert [(int(i), int(k)) for i, k in found] == [(300, 200)] and len(compared) == 1
+
+
+def test_windows_of_keys_met_once_are_not_sent(spark):
+    text = lambda k: " ".join(f"n{k * 1000 + j}" for j in range(120))
+    rows = spark.createDataFrame([(k, k, text(k)) for k in range(50)], "doc_id long, row long, text string")
+    again = rows.where("doc_id = 7")
+    often = substrings._windows(again.union(again)).groupBy("key").count().select("key")
+    sent = substrings._windows(rows, substrings.tw.bitmap(often)).collect()
+    assert {r.doc_id for r in sent} == {7}
+
+
 # ---- top-k -------------------------------------------------------------------
 
 
