@@ -466,6 +466,58 @@ def test_rows_that_share_tokens_but_no_passage_are_not_compared(monkeypatch):
     assert [(int(i), int(k)) for i, k in found] == [(300, 200)] and len(compared) == 1
 
 
+def test_parts_compared_at_once_are_those_compared_one_by_one():
+    rng = np.random.default_rng(41)
+    length = substrings.LENGTH
+    for few in (10**9, 60):  # the tokens of the second come again
+        x, y, sizes, parts, most = [], [], [], [], []
+        for k in range(60):
+            one = rng.integers(0, few, rng.integers(length, 4 * length), dtype=np.uint64)
+            two = one.copy()
+            two[rng.integers(0, len(one), rng.integers(0, 12))] = rng.integers(0, few, dtype=np.uint64)
+            if k % 3 == 0:
+                two = np.roll(two, rng.integers(-5, 6))
+            x.append(one)
+            y.append(two)
+            sizes.append(len(one))
+            most.append(rng.integers(0, 5 * length))
+            for _ in range(rng.integers(1, 4)):
+                lo = rng.integers(0, len(one) - length + 1)
+                parts.append((k, lo, rng.integers(lo + length, len(one) + 1)))
+        own, begin, end, s = substrings.many_alike(np.concatenate(x), np.concatenate(y), np.array(sizes), tuple(np.array(parts).T), np.array(most))
+        want = [(k, lo + a, lo + b, v) for k, lo, hi in parts for a, b, v in substrings.alike(x[k][lo:hi], y[k][lo:hi], most[k])]
+        assert sorted(zip(own.tolist(), begin.tolist(), end.tolist(), s.tolist())) == sorted(want)
+        assert len({v for *_, v in want}) > 5
+
+
+def test_rows_of_a_key_are_compared_at_once(monkeypatch):
+    """Not pair by pair, and small keys together: families of near copies, and what they get."""
+    rng = np.random.default_rng(43)
+    length = substrings.LENGTH
+    groups = []
+    for size in (3, 9, 40, 130):
+        roots = rng.integers(0, 1 << 31, (max(size // 6, 1), 2 * length - 1), dtype=np.int32)
+        tokens = []
+        for _ in range(size):
+            full = roots[rng.integers(0, len(roots))].copy()
+            full[rng.integers(0, 2 * length - 1, 4)] = rng.integers(0, 1 << 31, 4)
+            full[length - 1] = 0
+            tokens.append(full)
+        groups.append(([(k, k, length - 1, 0, length - 1) for k in range(size)], tokens))
+    calls, alike = [], substrings.alike
+    monkeypatch.setattr(substrings, "alike", lambda *args: calls.append(1) or alike(*args))
+    one_by_one = [substrings.sources(rows, tokens, np.zeros(len(rows), int), np.ones(len(rows), bool), False) for rows, tokens in groups]
+    assert len(calls) < 20 < sum(len(found) for found, _ in one_by_one)
+    group = np.repeat(np.arange(len(groups)), [len(rows) for rows, _ in groups])
+    w = tuple(np.array([r for rows, _ in groups for r in rows], np.int64).T)
+    flat = [t for _, tokens in groups for t in tokens]
+    sizes = np.array([len(t) for t in flat])
+    later, earlier, uncovered = substrings.small_sources(group, w, np.concatenate(flat), sizes, np.ones(len(flat), bool))
+    begin = np.searchsorted(group, np.arange(len(groups)))
+    assert list(zip(later, earlier)) == [(a + i, a + k) for a, (found, _) in zip(begin, one_by_one) for i, k in found]
+    assert uncovered.tolist() == [a + i for a, (_, lone) in zip(begin, one_by_one) for i in lone]
+
+
 def test_windows_of_keys_met_once_are_not_sent(spark):
     text = lambda k: " ".join(f"n{k * 1000 + j}" for j in range(120))
     rows = spark.createDataFrame([(k, k, text(k)) for k in range(50)], "doc_id long, row long, text string")
