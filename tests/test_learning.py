@@ -323,3 +323,28 @@ def test_packed_blocks_are_never_broadcast(spark, monkeypatch):
             if "BroadcastExchange" in line:
                 below = lines[at + 1]
                 assert not any(f"{c}#" in below for c in ("mat", "known", "fills", "ids")), below
+
+
+def test_blocks_of_donors_and_pairs_of_boxes_are_not_shuffled(spark, monkeypatch):
+    """Each group of receivers would get a copy of the donors, and the files grow with the pairs."""
+    rng = random.Random(6)
+    rows = [(i, [None if rng.random() < 0.5 else round(rng.uniform(0, 9), 1) for _ in range(6)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "hadm_id bigint, values array<double>")
+    plans: list[str] = []
+
+    def cut(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(frame)
+
+    monkeypatch.setattr(impute, "cut_lineage", cut)
+    found = {r.hadm_id: r["values"] for r in impute.knn_impute(df, df, k=2, block_rows=10).collect()}
+    assert found[0] == pytest.approx(brute_knn(dict(rows), dict(rows), 2)[0], abs=1e-9)
+    folds = [plan for plan in plans if "known#" in plan and "MapInArrow" in plan]
+    assert len(folds) == 2 and any("low_a#" in plan for plan in plans)
+    for plan in plans:
+        lines = plan.splitlines()
+        for at, line in enumerate(lines):
+            if " Exchange " in line:
+                below = lines[at + 1]
+                sent = below.rpartition(")#")[2] if "MapInArrow" in below else " ".join(lines[at : at + 3])
+                assert not ("low_b#" in sent or "known#" in plan and "ids#" in sent), sent
